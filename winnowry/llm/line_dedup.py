@@ -36,9 +36,10 @@ def _windows(docs: DataFrame) -> DataFrame:
     return few.select("doc_id", "t", F.explode(made).alias("w")).select("doc_id", "t", "w.*")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_removed) for each row of ``docs``; ``text`` without the lines of later occurrences."""
-    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+def _deduped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, n_removed, r): r is the whole row of ``docs``."""
+    row = F.struct(*[docs[c] for c in docs.columns])
+    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), row.alias("r"))
     base = base.withColumn("t", F.xxhash64("text"))
     w = _windows(base)
     place = F.struct("doc_id", "t", "a")
@@ -54,9 +55,22 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest).alias("text"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        "r",
     )
 
 
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_removed) for each row of ``docs``; ``text`` without the lines of later occurrences."""
+    return _deduped(docs, id_col, text_col).drop("r")
+
+
+def rewritten(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the shorter texts, without rows that lost lines and have none but blank ones left."""
+    out = _deduped(docs, id_col, text_col).filter((F.col("n_removed") == 0) | (F.trim("text", F.lit(BLANK + "\n")) != ""))
+    new = {text_col: F.col("text"), size_col: F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(f"r.{size_col}"))}
+    return out.select(*[new.get(c, F.col("r")[c]).alias(c) for c in docs.columns])
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
