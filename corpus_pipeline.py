@@ -7,13 +7,10 @@ documents (the last one adds its own). Other columns of ``docs`` are passed on u
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from winnowry.llm import line_dedup, quality_rules
+from winnowry.llm import decontaminate, line_dedup, ngram_join, quality_rules, sentencepiece_bpe
 from winnowry.session import cut
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
@@ -25,8 +22,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.rewritten(docs)
 
 
-STAGES = [("quality rules", quality), ("line dedup", lines)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least doc_id stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of ``benchmark`` go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with ``token_ids``."""
+    return docs.withColumn("token_ids", sentencepiece_bpe.encode(docs["text"]))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark),
+    ("SentencePiece encoding", tokens),
+]
 
+#: The last stage's pieces can't be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -36,5 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = cut(docs, "pipeline-" + name.replace(" ", "-"))
+            docs = cut(docs, "pipeline-" + name.lower().replace(" ", "-"))
     return docs

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
+from . import decontaminate, line_dedup, ngram_join, quality_rules, sentencepiece_bpe
 
 
 def queries() -> dict:
     return {
         "op1_quality_rules": quality_rules.op1_quality_rules,
+        "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
+        "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
         "op10_line_dedup": line_dedup.op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL}
+    return {
+        "op1_quality_rules": quality_rules.SQL,
+        "op4_decontaminate": decontaminate.SQL,
+        "op9_ngram_jaccard": ngram_join.SQL,
+        "op10_line_dedup": line_dedup.SQL,
+    }
