@@ -31,7 +31,7 @@ from ._words import BASE, U, char_sums, chunks, mix, runs, spans, sums
 MAX_TOXIC = 2000
 MAX_CLEAN = 4000
 EVIDENCE = 30.0
-BITS = 18
+BITS = 22
 ROUNDS = 40
 CUT = 0.5
 #: Values of the features of a word: itself, its length, the word before, the word after.
