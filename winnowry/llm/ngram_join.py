@@ -246,7 +246,7 @@ def near_groups(
     gram: int = GRAM,
     sketch: int = SKETCH,
 ) -> DataFrame:
-    """(doc_id, group_id, group_size) of all documents with a partner; group_id is the least doc_id of the group."""
+    """(doc_id, group_id) of all documents with a partner; group_id is the least doc_id of the group."""
     base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).filter("doc_id IS NOT NULL")
     sk = cut(base.select("doc_id", _sketches(gram, sketch)(F.col("text")).alias("s")).select("doc_id", "s.*").filter("n > 0"), "op9-sketch")
     reps = sk.groupBy("rid").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -282,8 +282,8 @@ def near_groups(
         more = named.join(several.select("doc_id", "src"), "doc_id").select("src", F.col("c").alias("dst"))
         same = connected_components(more).withColumnsRenamed({"id": "c", "component": "to"})
         named = named.join(same, "c", "left").select("doc_id", F.coalesce("to", "c").alias("c")).distinct()
-    sizes = named.groupBy("c").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("group_size")).filter("group_size > 1")
-    return named.join(sizes, "c").select("doc_id", "group_id", "group_size")
+    sizes = named.groupBy("c").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("size")).filter("size > 1")
+    return named.join(sizes, "c").select("doc_id", "group_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -306,5 +306,5 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.
 e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE o / (x.n + y.n - o)::DOUBLE >= {THRESHOLD}::DOUBLE),
 reach(id, far) AS (SELECT DISTINCT a, a FROM e UNION SELECT reach.id, e.b FROM reach JOIN e ON e.a = reach.far),
 grp AS (SELECT id AS doc_id, min(far) AS group_id FROM reach GROUP BY id)
-SELECT doc_id, group_id, count(*) OVER (PARTITION BY group_id) AS group_size FROM grp
+SELECT doc_id, group_id FROM grp
 """

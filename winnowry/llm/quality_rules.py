@@ -98,7 +98,8 @@ def kept(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """The documents that the rules keep, with their shares."""
+    return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).filter("keep")
 
 
 def _sql() -> str:
@@ -124,6 +125,7 @@ SELECT d.doc_id, COALESCE(ws.n_words, 0)::BIGINT AS n_words, COALESCE(l.share, 0
        {", ".join(f"COALESCE(dup{n}_share, 0.0::DOUBLE) AS dup{n}_share" for n in LIMITS)},
        COALESCE(ok, true) AND COALESCE(l.share, 0.0::DOUBLE) <= {LINE_LIMIT}::DOUBLE AS keep
 FROM d LEFT JOIN ws ON ws.r = d.r LEFT JOIN piv ON piv.r = d.r LEFT JOIN l ON l.r = d.r
+WHERE COALESCE(ok, true) AND COALESCE(l.share, 0.0::DOUBLE) <= {LINE_LIMIT}::DOUBLE
 """
 
 
