@@ -7,11 +7,12 @@ import json
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import strip_ends, whitespace
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def json_string(texts: pa.Array) -> pa.Array:
     """Texts as JSON strings with everything beyond ASCII escaped."""
     return pa.array([None if t is None else json.dumps(t) for t in texts.to_pylist()], pa.string())

@@ -9,6 +9,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 #: Entities that the built-in decoder knows, the ampersand last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -48,7 +49,7 @@ def strip_markdown(c: Column) -> Column:
     return c
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def unescape(texts: pa.Array) -> pa.Array:
     """Every HTML entity decoded, by batches."""
     return pa.array([t if t is None or "&" not in t else html.unescape(t) for t in texts.to_pylist()], pa.string())
@@ -64,7 +65,7 @@ def strip_html(c: Column, exact: bool = False) -> Column:
     return c
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(BooleanType())
 def valid_url(urls: pa.Array) -> pa.Array:
     """Whether the standard URL splitter takes it; false for null and ''."""
 

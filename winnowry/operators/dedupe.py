@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from winnowry.functions import text as T
 from winnowry.operators.components import connected_components
@@ -107,7 +108,7 @@ def candidate_pairs(n: DataFrame) -> DataFrame:
     return token_pairs(n).unionByName(domain_pairs(n).withColumn("r", F.lit(0).cast("long"))).groupBy("i", "j").agg(F.sum("r").alias("r"))
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(IntegerType())
 def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Sizes of the intersections of arrays of distinct hashes."""
     ao, av, bo, bv = a.offsets.to_numpy(), a.values.to_numpy(), b.offsets.to_numpy(), b.values.to_numpy()
