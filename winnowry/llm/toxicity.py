@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ._words import BASE, U, char_sums, chunks, mix, runs, spans, sums
 
-MAX_TOXIC = 2000
-MAX_CLEAN = 4000
+MAX_TOXIC = 1500
+MAX_CLEAN = 3000
 EVIDENCE = 30.0
 BITS = 22
 ROUNDS = 40
@@ -60,7 +60,7 @@ class Tokens:
         after[:-1] = h[1:]
         after[:-1][self.first[1:]] = 0
         parts = (h, edge, before, after)
-        self.features = np.stack([(mix(x + U((k + 1) * int(BASE) % 2**64)) >> U(64 - BITS)).astype(np.int64) for k, x in enumerate(parts)]) if n else np.zeros((4, 0), np.int64)
+        self.features = np.stack([(mix(x + U((k + 1) * int(BASE) % 2**64)) >> U(64 - BITS)).astype(np.int32) for k, x in enumerate(parts)]) if n else np.zeros((4, 0), np.int32)
 
 
 def fractional_scan(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -113,57 +113,59 @@ class Crf:
         return odds / (1 + odds)
 
 
-def fit(t: Tokens, y: np.ndarray, rounds: int = ROUNDS, rate: float = 2.0, decay: float = 1e-7) -> Crf:
-    """Gradient ascent with steps scaled by past gradients; y: 1 for toxic words."""
-    crf = Crf(np.zeros(1 << BITS), np.array([[0.0, -3.0], [0.0, -1.0]]), -3.0)
-    n = max(1, len(y))
-    past = np.zeros(1 << BITS)
+def fit(parts: list[tuple[Tokens, np.ndarray]], rounds: int = ROUNDS, rate: float = 2.0, decay: float = 1e-7) -> Crf:
+    """Gradient ascent over all parts, with steps scaled by past gradients; of a part: tokens, and 1 for toxic words."""
+    crf = Crf(np.zeros(1 << BITS, np.float32), np.array([[0.0, -3.0], [0.0, -1.0]]), -3.0)
+    n = max(1, sum(len(y) for _, y in parts))
+    past = np.zeros(1 << BITS, np.float32)
     past_move, past_start = np.zeros((2, 2)), 0.0
-    inner = ~t.first[1:]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[:-1][inner], y[1:][inner]), 1)
     for _ in range(rounds):
-        e, fwd, back = crf.messages(t)
-        odds = fwd * back
-        p = odds / (1 + odds)
-        g = np.bincount(t.features.reshape(-1), np.outer(VALUES, y - p).reshape(-1), 1 << BITS) - decay * n * crf.weights
-        # Pair marginals of neighbours within a document.
-        x, nb = fwd[:-1][inner], (e[1:] * back[1:])[inner]
-        tm = np.exp(crf.move)
-        w = np.stack([tm[0, 0] * np.ones(len(x)), tm[0, 1] * nb, tm[1, 0] * x, tm[1, 1] * x * nb])
-        gm = seen - (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        gs = float((y - p)[t.first].sum())
+        g = -decay * n * crf.weights
+        gm, gs = np.zeros((2, 2)), 0.0
+        for t, y in parts:
+            e, fwd, back = crf.messages(t)
+            odds = fwd * back
+            miss = y - odds / (1 + odds)
+            for value, f in zip(VALUES, t.features):
+                np.add.at(g, f, (value * miss).astype(np.float32))
+            # Pair marginals of neighbours within a document.
+            inner = ~t.first[1:]
+            a, b = y[:-1][inner], y[1:][inner]
+            x, nb = fwd[:-1][inner], (e[1:] * back[1:])[inner]
+            tm = np.exp(crf.move)
+            w = np.stack([tm[0, 0] * np.ones(len(x)), tm[0, 1] * nb, tm[1, 0] * x, tm[1, 1] * x * nb])
+            gm += np.bincount(2 * a + b, minlength=4).reshape(2, 2) - (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+            gs += float(miss[t.first].sum())
         past += g * g
         past_move += gm * gm
         past_start += gs * gs
-        crf.weights += rate * g / (np.sqrt(past) + 1e-9)
+        crf.weights += rate * g / (np.sqrt(past) + np.float32(1e-9))
         crf.move += 0.2 * gm / (np.sqrt(past_move) + 1e-9)
         crf.start += 0.2 * gs / (past_start**0.5 + 1e-9)
-    crf.weights = crf.weights.astype(np.float32)
     return crf
 
 
-def _label(t: Tokens, toxic: np.ndarray) -> np.ndarray:
+def label_words(hashes: np.ndarray, ptr: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """1 for the words of toxic rows that the labels of rows show to be toxic; near copies count once."""
     rows = len(toxic)
-    row = np.repeat(np.arange(rows), np.diff(t.ptr))
+    row = np.repeat(np.arange(rows), np.diff(ptr))
     seen: set[int] = set()
     fresh = np.zeros(rows, bool)
-    gram = t.hash.copy()
-    gram[:-1] = mix(gram[:-1] * BASE + t.hash[1:])
+    gram = hashes.copy()
+    gram[:-1] = mix(gram[:-1] * BASE + hashes[1:])
     for r in range(rows):
-        g = gram[t.ptr[r] : t.ptr[r + 1]]
+        g = gram[ptr[r] : ptr[r + 1]]
         if len(g):
             least = [int((g * U(k)).min()) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
             fresh[r] = not any(x in seen for x in least)
             seen.update(least)
     use = fresh[row]
-    word, code = np.unique(t.hash, return_inverse=True)
+    word, code = np.unique(hashes, return_inverse=True)
     pair = np.unique(code[use] * np.int64(rows) + row[use])
     hot = toxic[pair % rows]
     k = np.bincount((pair // rows)[hot], minlength=len(word)).astype(float)
     m = np.bincount((pair // rows)[~hot], minlength=len(word)).astype(float)
-    share = len(np.unique(pair[hot])) / max(1, len(pair))
+    share = np.count_nonzero(hot) / max(1, len(pair))
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = 2 * (np.where(k > 0, k * np.log(k / ((k + m) * share)), 0) + np.where(m > 0, m * np.log(m / ((k + m) * (1 - share))), 0))
     bad = (k >= 0.95 * (k + m)) & (ratio >= EVIDENCE)
@@ -185,10 +187,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     )
     if not rows.num_rows:
         return None
-    (_, _, data, off), *_ = chunks(rows["text"].combine_chunks(), 1 << 62)
-    t = Tokens(data, off)
-    y = _label(t, rows["toxic"].to_numpy() == 1)
-    return fit(t, y) if y.any() else None
+    parts = [Tokens(data, off) for _, _, data, off in chunks(rows["text"].combine_chunks())]
+    start = np.cumsum([0] + [len(t.hash) for t in parts])
+    ptr = np.concatenate([t.ptr[:-1] + a for t, a in zip(parts, start)] + [start[-1:]])
+    y = label_words(np.concatenate([t.hash for t in parts]), ptr, rows["toxic"].to_numpy() == 1)
+    return fit([(t, y[a:b]) for t, a, b in zip(parts, start[:-1], start[1:])]) if y.any() else None
 
 
 def tags(text: Column, crf: Crf | None, cut: float = CUT) -> Column:
