@@ -1,6 +1,6 @@
 """Operator 7: token ids as static range asymmetric numeral system (rANS) blocks.
 
-Texts are encoded to piece ids (operator 5) and packed into blocks of whole documents, written to the shared folder
+Texts are encoded to piece ids (those of operator 5, by the library, word by word) and packed into blocks of whole documents, written to the shared folder
 once. Frequencies are counted over all of it and scaled to a sum of 2**SCALE, one table shared by all blocks. A block
 is coded by LANES interleaved lanes: word i belongs to lane i % LANES, numpy steps all lanes at once, and 64-bit states
 put out 32-bit words. Every EVERY steps a checkpoint keeps the lane states, the place in the words and a checksum of
@@ -136,7 +136,7 @@ def _blocks(path: str, block: int, kind: pa.DataType):
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                for d, r in zip(part.column(0).to_pylist(), encode_batch(part.column(1), path)):
+                for d, r in zip(part.column(0).to_pylist(), encode_batch(part.column(1), path, library=True)):
                     docs.append(d)
                     rows.append(r)
                     have += 0 if r is None else len(r)

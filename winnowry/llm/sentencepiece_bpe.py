@@ -38,7 +38,7 @@ class Vocabulary:
     """Pieces, ranks, and the automaton of one model."""
 
     def __init__(self, path: str):
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.vocab_size()
         pieces = [sp.id_to_piece(i) for i in range(n)]
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)}
@@ -157,6 +157,15 @@ class Vocabulary:
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         return self.words.gather(at)
 
+    def learn(self, text: str) -> None:
+        """Puts the words of a text that the memo lacks into it, by the library: the same pieces, for other operators."""
+        if not text:
+            return
+        new = [w for w in set(self.cut(text)) if w and w not in self.words and (w[:1] != "\0" or w[:2] == "\0\n")]
+        for w, ids in zip(new, self.library.encode([w.lstrip("\0") for w in new], num_threads=1)):
+            # Before a line end the library's leading mark stands alone.
+            self.words.add(w, ids[1:] if w[:1] == "\0" else ids)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 text of ids; the space that encoding put first goes."""
         lo = self.raw_off[ids]
@@ -184,7 +193,9 @@ class _Memo(dict):
         self.n = self.used = 0
 
     def __missing__(self, word: str) -> int:
-        ids = self.v.encode_chunk(word[1:] if word[:1] == "\0" else MARK + word)
+        return self.add(word, self.v.encode_chunk(word[1:] if word[:1] == "\0" else MARK + word))
+
+    def add(self, word: str, ids: list[int]) -> int:
         if self.n + 2 > len(self.off):
             self.off = np.concatenate((self.off, np.zeros_like(self.off)))
         while self.used + len(ids) > len(self.flat):
@@ -209,13 +220,15 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode_batch(texts: pa.Array, path: str) -> list[np.ndarray | None]:
+def encode_batch(texts: pa.Array, path: str, library: bool = False) -> list[np.ndarray | None]:
     v = vocabulary(path)
     out = []
     for t in texts:
         if len(v.words) > MEMO:
             v.words.reset()
         s = t.as_py()
+        if library and s:
+            v.learn(s)
         out.append(None if s is None else v.encode(s))
     return out
 
