@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from winnowry.session import cut
 
-from .sentencepiece_bpe import MODEL, encode_batch, vocabulary
+from .sentencepiece_bpe import MEMO, MODEL, vocabulary
 
 SCALE = 20
 LANES = 256
@@ -121,6 +121,8 @@ def _blocks(path: str, block: int, kind: pa.DataType):
     """Rows of (ids of documents, lengths, piece ids) of whole documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        small = len(v.text) <= 65536
         docs: list = []
         rows: list[np.ndarray | None] = []
 
@@ -134,11 +136,14 @@ def _blocks(path: str, block: int, kind: pa.DataType):
 
         have = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                for d, r in zip(part.column(0).to_pylist(), encode_batch(part.column(1), path, library=True)):
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                if len(v.words) > MEMO:
+                    v.words.reset()
+                texts = part.column(1).to_pylist()
+                for d, t, r in zip(part.column(0).to_pylist(), texts, v.encode_many([t or "" for t in texts])):
                     docs.append(d)
-                    rows.append(r)
+                    rows.append(None if t is None else (r := r.astype(np.uint16 if small else np.int32)))
                     have += 0 if r is None else len(r)
                     if have >= block:
                         yield close()

@@ -20,6 +20,7 @@ encoded as the library does and decodes to spaces. Every row is handled alone; o
 from __future__ import annotations
 
 import functools
+import itertools
 
 import ahocorasick
 import numpy as np
@@ -157,14 +158,20 @@ class Vocabulary:
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         return self.words.gather(at)
 
-    def learn(self, text: str) -> None:
-        """Puts the words of a text that the memo lacks into it, by the library: the same pieces, for other operators."""
-        if not text:
-            return
-        new = [w for w in set(self.cut(text)) if w and w not in self.words and (w[:1] != "\0" or w[:2] == "\0\n")]
-        for w, ids in zip(new, self.library.encode([w.lstrip("\0") for w in new], num_threads=1)):
-            # Before a line end the library's leading mark stands alone.
-            self.words.add(w, ids[1:] if w[:1] == "\0" else ids)
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """The encodings of texts; words that the memo lacks are encoded by the library, which gives the same pieces."""
+        words = [self.cut(t) if t else [] for t in texts]
+        size = [len(w) for w in words]
+        memo = self.words
+        memo.pending = []
+        at = np.fromiter(map(memo.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(size))
+        new, memo.pending = memo.pending, None
+        # Before a line end the library's leading mark stands alone; other words without a space before are encoded here.
+        made = iter(self.library.encode([w[1:] if w[:1] == "\0" else w for w in new if w and (w[0] != "\0" or w[1] == "\n")], num_threads=1))
+        memo.fill([[self.id[MARK]] if not w else next(made) if w[0] != "\0" else next(made)[1:] if w[1] == "\n" else self.encode_chunk(w[1:]) for w in new])
+        flat = self.words.gather(at)
+        ends = np.concatenate(([0], np.cumsum(self.words.off[at + 1] - self.words.off[at])))[np.concatenate(([0], np.cumsum(size)))]
+        return [flat[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 text of ids; the space that encoding put first goes."""
@@ -184,6 +191,7 @@ class _Memo(dict):
     def __init__(self, v: Vocabulary):
         super().__init__()
         self.v = v
+        self.pending: list[str] | None = None
         self.reset()
 
     def reset(self) -> None:
@@ -193,6 +201,11 @@ class _Memo(dict):
         self.n = self.used = 0
 
     def __missing__(self, word: str) -> int:
+        if self.pending is not None:
+            self.pending.append(word)
+            self[word] = k = self.n
+            self.n += 1
+            return k
         return self.add(word, self.v.encode_chunk(word[1:] if word[:1] == "\0" else MARK + word))
 
     def add(self, word: str, ids: list[int]) -> int:
@@ -207,6 +220,19 @@ class _Memo(dict):
         self.n += 1
         return k
 
+    def fill(self, lists: list[list[int]]) -> None:
+        """The pieces of the words that were pending, in their order."""
+        first, m = self.n - len(lists), len(lists)
+        size = np.fromiter(map(len, lists), np.int64, m)
+        total = int(size.sum())
+        while self.n + 2 > len(self.off):
+            self.off = np.concatenate((self.off, np.zeros_like(self.off)))
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(lists), np.int32, total)
+        self.off[first + 1 : first + 1 + m] = self.used + np.cumsum(size)
+        self.used += total
+
     def gather(self, at: np.ndarray) -> np.ndarray:
         lo = self.off[at]
         size = self.off[at + 1] - lo
@@ -220,15 +246,13 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode_batch(texts: pa.Array, path: str, library: bool = False) -> list[np.ndarray | None]:
+def encode_batch(texts: pa.Array, path: str) -> list[np.ndarray | None]:
     v = vocabulary(path)
     out = []
     for t in texts:
         if len(v.words) > MEMO:
             v.words.reset()
         s = t.as_py()
-        if library and s:
-            v.learn(s)
         out.append(None if s is None else v.encode(s))
     return out
 
