@@ -13,21 +13,21 @@ from pyspark.sql.types import BooleanType, StringType
 
 #: Entities that the built-in decoder knows, the ampersand last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-LINK = r"\[([^\]]+)\]\(([^)]+)\)"
+LINK = r"[\[]([^\]]+)[\]][(]([^)]+)[)]"
 BARE_URL = r"(?U)https?://\S+"
 TRIMMED_TAIL = r"[)\].,;:!?]+$"
 #: The rewrites of Markdown, in order: (pattern, replacement).
 MARKDOWN = (
     (r"(?s)```.*?```", " "),
     (r"`[^`]+`", " "),
-    (r"!\[[^\]]*\]\([^)]*\)", " "),
-    (r"\[([^\]]*)\]\([^)]*\)", "$1"),
+    (r"[!][\[][^\]]*[\]][(][^)]*[)]", " "),
+    (r"[\[]([^\]]*)[\]][(][^)]*[)]", "$1"),
     (r"(?mdU)^>+\s?", " "),
     (r"(?mdU)^#{1,6}\s*", " "),
-    (r"(?mdU)^(?:\s*[-*+]\s+|\d+\.\s+)", " "),
+    (r"(?mdU)^(?:\d+[.]\s+|\s*[*+-]\s+)", " "),
 )
 REDACTIONS = (
-    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "[redacted_email]"),
+    (r"[%+._0-9a-zA-Z-]+@[.0-9a-zA-Z-]+", "[redacted_email]"),
     (r"(?U)\b\d{3}-\d{2}-\d{4}\b", "[redacted_ssn]"),
     (r"(?U)\b\d{10}\b", "[redacted_phone]"),
 )
@@ -118,11 +118,11 @@ def domain(c: Column) -> Column:
 
 
 def without_crosspost(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?iU)cross\s*post(ed)?\s+from\s+r/\w+", " ")
+    return F.regexp_replace(c, r"(?iU)cross\s*(?:posted|post)\s{1,}from\s{1,}r/\w+", " ")
 
 
 def without_mentions(c: Column) -> Column:
-    return F.regexp_replace(c, "/?u/[A-Za-z0-9_-]+", " ")
+    return F.regexp_replace(c, "/?u/[_0-9a-zA-Z-]+", " ")
 
 
 def _new_emoji() -> str:
