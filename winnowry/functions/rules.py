@@ -63,9 +63,12 @@ PRODUCT = _cues("tool|software|program|application|app")
 MAKING = _cues("develop|create|build")
 STUDY = _cues("school|college|career")
 
-FIELDS = ("intent", "is_problem", "is_software_solvable", "is_external", "problem_reason", "software_reason", "external_reason", "detected_patterns", "confidence")
+FIELDS = tuple("intent is_problem is_software_solvable is_external problem_reason software_reason external_reason detected_patterns confidence".split())
 LABELS = FIELDS[:4]
-INTENTS = {"seeking_help": "1", "sharing_advice": "2", "showcasing": "3", "discussing": "4"}
+INTENTS = dict(discussing="4", showcasing="3", sharing_advice="2", seeking_help="1")
+
+
+YES, NO = "1", "0"
 
 
 def has(text: Column, cues: tuple[str, ...]) -> Column:
@@ -112,12 +115,12 @@ def problem(t: Column, intent_: Column) -> tuple[Column, Column]:
     found = hits(t, PROBLEM)
     left = open_cues(t, found)
     return _decide(
-        (has(t, RESOLVED), "0", "Story explains how the issue was already resolved."),
-        ((intent_ == "3") & (F.size(found) == 0), "0", "Showcase post without any unresolved frustration."),
-        (F.size(left) > 0, "1", F.concat(F.lit("Found unresolved problem cues: "), _three(left), F.lit("."))),
-        (F.size(found) > 0, "0", "Problem words only show up in negated phrases."),
-        (intent_ == "2", "1", "Post shares advice based on a real past problem."),
-        last=("0", "No unresolved problem indicators detected."),
+        (has(t, RESOLVED), NO, "Story explains how the issue was already resolved."),
+        ((intent_ == "3") & (F.size(found) == 0), NO, "Showcase post without any unresolved frustration."),
+        (F.size(left) > 0, YES, F.concat(F.lit("Found unresolved problem cues: "), _three(left), F.lit("."))),
+        (F.size(found) > 0, NO, "Problem words only show up in negated phrases."),
+        (intent_ == "2", YES, "Post shares advice based on a real past problem."),
+        last=(NO, "No unresolved problem indicators detected."),
     )
 
 
@@ -125,14 +128,14 @@ def software(t: Column, is_problem: Column) -> tuple[Column, Column]:
     soft, hard = hits(t, SOFTWARE), hits(t, HARDWARE)
     s, h = F.size(soft) > 0, F.size(hard) > 0
     return _decide(
-        (is_problem != "1", "0", "No active problem, so this label stays at 0."),
-        (F.contains(t, F.lit("looking for")) & has(t, PRODUCT) & ~has(t, MAKING), "0", "Looking for an existing product rather than fixing software."),
-        (s & ~h, "1", F.concat(F.lit("Clear software troubleshooting cues: "), _three(soft), F.lit("."))),
-        (h & ~s, "0", F.concat(F.lit("Signals point to hardware or market research ("), _three(hard), F.lit(")."))),
-        (has(t, LEARNING), "0", "Question is about learning, not repairing software."),
-        (has(t, ("driver", "update")), "1", "Mentions drivers or updates linking problem to software."),
-        (s & h, "0", "Mix of hardware and product cues, so not purely software solvable."),
-        last=("0", "No strong software-related clues detected."),
+        (is_problem != "1", NO, "No active problem, so this label stays at 0."),
+        (F.contains(t, F.lit("looking for")) & has(t, PRODUCT) & ~has(t, MAKING), NO, "Looking for an existing product rather than fixing software."),
+        (s & ~h, YES, F.concat(F.lit("Clear software troubleshooting cues: "), _three(soft), F.lit("."))),
+        (h & ~s, NO, F.concat(F.lit("Signals point to hardware or market research ("), _three(hard), F.lit(")."))),
+        (has(t, LEARNING), NO, "Question is about learning, not repairing software."),
+        (has(t, ("driver", "update")), YES, "Mentions drivers or updates linking problem to software."),
+        (s & h, NO, "Mix of hardware and product cues, " "so not purely software solvable."),
+        last=(NO, "No strong software-related clues detected."),
     )
 
 
@@ -140,14 +143,14 @@ def external(t: Column, is_problem: Column) -> tuple[Column, Column]:
     advice = F.contains(t, F.lit("advice"))
     found = hits(t, EXTERNAL)
     return _decide(
-        (is_problem != "1", "0", "No active problem, so this label stays at 0."),
-        (F.contains(t, F.lit("which")) & F.contains(t, F.lit("should i")), "1", "Choosing between outside options, so external help is needed."),
-        (F.contains(t, F.lit("job")) & advice, "0", "Career advice discussion can be handled individually."),
-        (has(t, STUDY) & advice, "0", "Education or career advice does not need outside partners."),
-        (F.size(found) > 0, "1", F.concat(F.lit("Needs outside support: "), _three(found), F.lit("."))),
-        (has(t, PROTOTYPE), "1", "Prototype work calls for external hardware or fabrication help."),
-        (has(t, LEARNING), "0", "User can act alone with the right guidance."),
-        last=("0", "No signs that external coordination is required."),
+        (is_problem != "1", NO, "No active problem, so this label stays at 0."),
+        (F.contains(t, F.lit("which")) & F.contains(t, F.lit("should i")), YES, "Choosing between outside options, so external help is needed."),
+        (F.contains(t, F.lit("job")) & advice, NO, "Career advice discussion can be handled individually."),
+        (has(t, STUDY) & advice, NO, "Education or career advice does not need outside partners."),
+        (F.size(found) > 0, YES, F.concat(F.lit("Needs outside support: "), _three(found), F.lit("."))),
+        (has(t, PROTOTYPE), YES, "Prototype work calls for external hardware or fabrication help."),
+        (has(t, LEARNING), NO, "User can act alone with the right guidance."),
+        last=(NO, "No signs that external coordination is required."),
     )
 
 

@@ -28,7 +28,7 @@ MARKDOWN = (
 )
 REDACTIONS = (
     (r"[%+._0-9a-zA-Z-]+@[.0-9a-zA-Z-]+", "[redacted_email]"),
-    (r"(?U)\b\d{3}-\d{2}-\d{4}\b", "[redacted_ssn]"),
+    (r"(?U)\b\d\d\d-\d\d-\d{4}\b", "[redacted_ssn]"),
     (r"(?U)\b\d{10}\b", "[redacted_phone]"),
 )
 

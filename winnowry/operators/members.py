@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.functions.labels import parse_answer
+from winnowry.functions.rules import FIELDS
 from winnowry.operators.ensemble import member
 
 PROMPT_VERSION = "2.0.0"
@@ -79,7 +80,7 @@ def map_texts(df: DataFrame, call: Callable[[str], str], per_minute: float = 0.0
 def answer_member(name: str, content: str = "value"):
     """The struct of a member from the column of its answers; null where it failed or isn't JSON."""
     a = parse_answer(F.col(content), DEFAULT.get(name, 0.8))
-    fields = {f: a[f] for f in ("intent", "is_problem", "is_software_solvable", "is_external", "problem_reason", "software_reason", "external_reason", "detected_patterns", "confidence")}
+    fields = {f: a[f] for f in FIELDS}
     return F.when(F.col(content).isNotNull() & a["error"].isNull(), member(name, fields, a["confidence"], a["rationale"]))
 
 

@@ -372,7 +372,7 @@ def oracle_sql() -> dict[str, str]:
         "url_domain": "SELECT page_id, regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)', 1) AS domain, url <> '' AS valid FROM pages",
         "tokenise": _with_norm(f"SELECT post_id, array_to_string({S_TOKENS}, '|') AS tokens FROM n"),
         "char_ngrams": _with_norm("SELECT post_id, CASE WHEN length(norm) < 5 THEN 1 ELSE length(norm) - 4 END AS n, CASE WHEN length(norm) < 5 THEN 1 ELSE len(list_distinct(list_transform(range(1, length(norm) - 3), lambda k: substr(norm, k, 5)))) END AS n_distinct FROM n"),
-        "redact_pii": post(_rx(_rx(_rx("body", r"[%+._0-9a-zA-Z-]+@[.0-9a-zA-Z-]+", "[redacted_email]"), r"\b\d{3}-\d{2}-\d{4}\b", "[redacted_ssn]"), r"\b\d{10}\b", "[redacted_phone]")),
+        "redact_pii": post(_rx(_rx(_rx("body", r"[%+._0-9a-zA-Z-]+@[.0-9a-zA-Z-]+", "[redacted_email]"), r"\b\d\d\d-\d\d-\d{4}\b", "[redacted_ssn]"), r"\b\d{10}\b", "[redacted_phone]")),
         "post_text": post(S_TEXT),
         "cache_key": """SELECT conv_id, turn, sha256('{"model": "m", "prompt": "p", "text": "' || role || '"}') AS key FROM conversations""",
         "label_parse": answers + """ SELECT doc_id, CASE k WHEN 0 THEN '1' WHEN 1 THEN '1' WHEN 2 THEN '1' WHEN 3 THEN '0' WHEN 4 THEN '0' ELSE '' END AS is_problem, CASE WHEN k = 5 THEN '' ELSE '1' END AS is_software_solvable,
