@@ -312,6 +312,17 @@ def test_ngram_join(spark, odd, none):
     assert ngram_join.near_groups(none).count() == 0
 
 
+def test_ngram_join_large_groups(spark):
+    rng = random.Random(15)
+    head = words(rng, 102, 10**6)
+    texts = [" ".join(head + words(rng, rng.randrange(53, 79), 10**9)) for _ in range(400)]
+    got = dict(ngram_join.near_groups(table(spark, texts)).collect())
+    want = brute_groups(texts, list(range(len(texts))))
+    assert 100 < len(want) < 380 and len(set(want.values())) == 1
+    assert set(got) <= set(want) and len(got) >= 0.98 * len(want)
+    assert sum(got[i] == want[i] for i in got) >= 0.98 * len(want)
+
+
 def test_divide_skip():
     rng = np.random.default_rng(13)
     lists = [np.unique(rng.integers(0, 50, n)) for n in (3, 5, 8, 20, 45, 50)]
