@@ -267,6 +267,17 @@ def test_maxent_lm(spark, odd, none):
     assert maxent_lm.scored(none).count() == 0
 
 
+def test_maxent_lm_grows(spark, monkeypatch):
+    docs = table(spark, [" ".join(f"v{k} v{k}" for k in range(3000)) + " once"])
+    small = maxent_lm.train(docs)
+    assert len(small.words) >= 1792 and small.of_class.shape[1] >= 32 and small.of_place.shape[1] >= 64
+    monkeypatch.setattr(maxent_lm, "FREQUENT", 2)
+    large = maxent_lm.train(docs)
+    assert len(large.words) >= 3000 and large.of_place.size > small.of_place.size
+    assert large.top + large.oov == large.of_class.shape[1] * large.members
+    assert len(maxent_lm.Model.features(maxent_lm.Words(np.frombuffer(b"a b c d", np.uint8), np.array([0, 7])))) == 4
+
+
 def brute_groups(texts, ids, t=ngram_join.THRESHOLD):
     sets = [set(s.tolist()) for s in ngram_join.gram_sets(pa.array(texts, pa.string()))]
     root = {i: i for i in ids}
