@@ -212,6 +212,27 @@ def test_toxicity(spark, odd, none):
     assert toxicity.toxicity(docs, labels.limit(0)).filter("score > 0").count() == 0
 
 
+def test_near_copies():
+    rng = random.Random(16)
+    # Unrelated rows that have common bigrams, a copy and near copies on both sides of the limit.
+    texts = [" ".join(" ".join(rng.choice(["a b", "c d", "e f"] + words(rng, 9)) for _ in range(60)).split()) for _ in range(60)]
+    texts += [texts[3], texts[4] + " tail", "x", "x", ""] + [" ".join(texts[k].split()[: 30 + 2 * k] + words(rng, 20)) for k in range(5, 25)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    t = toxicity.Tokens(data, np.cumsum([0] + [len(x) for x in texts]))
+    sets = [set(zip(w, w[1:])) if len(w) > 1 else set(w) for w in map(str.split, texts)]
+    kept, want = [], []
+    for k, x in enumerate(sets):
+        want.append(any(x and len(x & sets[j]) >= toxicity.COPY * len(x | sets[j]) for j in kept))
+        if not want[-1]:
+            kept.append(k)
+    assert toxicity.near_copies(t.hash, t.ptr).tolist() == want
+    assert not any(want[:60]) and want[60] and want[61] and 3 < sum(want) < 24
+    # All unrelated rows count: a word of 20 of them is evidence.
+    unlike = [" ".join(["of the", "bad"][k < 20 :][:1] + ["of the in a"] + words(rng, 60, 10**6)) for k in range(200)]
+    t = toxicity.Tokens(np.frombuffer("".join(unlike).encode(), np.uint8), np.cumsum([0] + [len(x) for x in unlike]))
+    assert not toxicity.near_copies(t.hash, t.ptr).any()
+
+
 def test_scan_is_exact():
     rng = np.random.default_rng(9)
     for n in (1, 2, 7, 100, 1001):

@@ -5,7 +5,7 @@ in lower case). Features are hashed: the word, its length, and both neighbours.
 that merely begin like a toxic one are not toxic.
 
 Training is bounded: at most MAX_TOXIC toxic and MAX_CLEAN other labelled documents, by the order of a hash of the id,
-reach the driver. Near copies among them count once. A word of a toxic document is labelled toxic if hardly any clean
+reach the driver. Near copies among them (bigram Jaccard >= COPY) count once. A word of a toxic document is labelled toxic if hardly any clean
 document has it and its frequency in toxic ones is no chance (likelihood ratio at least EVIDENCE). Weights follow
 full-batch gradients of the conditional likelihood, with expectations by forward-backward.
 
@@ -31,6 +31,7 @@ from ._words import BASE, U, char_sums, chunks, mix, runs, spans, sums
 MAX_TOXIC = 1500
 MAX_CLEAN = 3000
 EVIDENCE = 30.0
+COPY = 0.5
 BITS = 22
 ROUNDS = 40
 CUT = 0.5
@@ -145,20 +146,47 @@ def fit(parts: list[tuple[Tokens, np.ndarray]], rounds: int = ROUNDS, rate: floa
     return crf
 
 
+def near_copies(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """Rows whose bigrams reach a Jaccard similarity of COPY with those of a row before them that is no copy itself.
+
+    Such a pair shares one of the rarest bigrams of each, more than the share 1 - COPY of them; only rows that do are compared.
+    """
+    rows = len(ptr) - 1
+    gram = hashes.copy()
+    gram[:-1] = mix(gram[:-1] * BASE + hashes[1:])
+    row = np.repeat(np.arange(rows), np.diff(ptr))
+    inner = np.append(row[1:] == row[:-1], False)[: len(row)]
+    inner[ptr[:-1][np.diff(ptr) == 1]] = True
+    gram = np.where(np.repeat(np.diff(ptr) == 1, np.diff(ptr)), hashes, gram)
+    _, code = np.unique(gram[inner], return_inverse=True)
+    kinds = int(code.max(initial=0)) + 1
+    key = np.unique(row[inner] * np.int64(kinds) + code)
+    r, c = key // kinds, key % kinds
+    rare = c[np.lexsort((c, np.bincount(c, minlength=kinds)[c], r))]
+    off = np.searchsorted(r, np.arange(rows + 1))
+    lists: dict[int, list[int]] = {}
+    out = np.zeros(rows, bool)
+    for k in range(rows):
+        mine, n = c[off[k] : off[k + 1]], int(off[k + 1] - off[k])
+        head = rare[off[k] : off[k + 1]][: n - int(np.ceil(COPY * n)) + 1].tolist()
+        for x in {x for g in head for x in lists.get(g, ())}:
+            m = int(off[x + 1] - off[x])
+            if min(m, n) >= COPY * max(m, n):
+                both = len(np.intersect1d(mine, c[off[x] : off[x + 1]], assume_unique=True))
+                if both >= COPY * (m + n - both):
+                    out[k] = True
+                    break
+        if not out[k]:
+            for g in head:
+                lists.setdefault(g, []).append(k)
+    return out
+
+
 def label_words(hashes: np.ndarray, ptr: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """1 for the words of toxic rows that the labels of rows show to be toxic; near copies count once."""
     rows = len(toxic)
     row = np.repeat(np.arange(rows), np.diff(ptr))
-    seen: set[int] = set()
-    fresh = np.zeros(rows, bool)
-    gram = hashes.copy()
-    gram[:-1] = mix(gram[:-1] * BASE + hashes[1:])
-    for r in range(rows):
-        g = gram[ptr[r] : ptr[r + 1]]
-        if len(g):
-            least = [int((g * U(k)).min()) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-            fresh[r] = not any(x in seen for x in least)
-            seen.update(least)
+    fresh = ~near_copies(hashes, ptr) & (np.diff(ptr) > 0)
     use = fresh[row]
     word, code = np.unique(hashes, return_inverse=True)
     pair = np.unique(code[use] * np.int64(rows) + row[use])
