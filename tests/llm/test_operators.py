@@ -212,6 +212,13 @@ def test_toxicity(spark, odd, none):
     assert toxicity.toxicity(docs, labels.limit(0)).filter("score > 0").count() == 0
 
 
+def test_toxicity_returns_every_document(spark, odd, tmp_path):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3, 0), (7, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = toxicity.op6_toxicity(spark, str(tmp_path)).collect()
+    assert len(rows) == len(ODD) and all(r["spans"] == [] and r["score"] == 0 for r in rows)
+
+
 def test_near_copies():
     rng = random.Random(16)
     # Unrelated rows that have common bigrams, a copy and near copies on both sides of the limit.
