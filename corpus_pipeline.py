@@ -33,8 +33,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with ``token_ids``."""
-    return docs.withColumn("token_ids", sentencepiece_bpe.encode(docs["text"]))
+    """All documents, with ``token_ids`` and ``exact``: whether decoding gives the text again."""
+    made = docs.withColumn("token_ids", sentencepiece_bpe.encode(docs["text"]))
+    return made.withColumn("exact", sentencepiece_bpe.decode(made["token_ids"]) == made["text"])
 
 
 STAGES = [

@@ -24,6 +24,7 @@ def test_stages(spark, tmp_path):
     assert "\n" not in out[24]["text"] and out[24]["n_chars"] == len(out[24]["text"])
     v = sentencepiece_bpe.vocabulary()
     assert all(r["token_ids"] == v.library.encode(r["text"]) for r in out.values() if r["text"] is not None)
+    assert all(r["exact"] is (None if r["text"] is None else True) for r in out.values())
     extra = docs.withColumn("extra", F.lit(1))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, extra, str(tmp_path)).columns == extra.columns
