@@ -4,8 +4,9 @@ Each document's word 3-grams are hashed to 64 bits; the SKETCH smallest form its
 more). The sketches' grams make inverted lists over the whole corpus. Two documents of Jaccard similarity t share about
 t * SKETCH of the smallest hashes, so a query is a T-occurrence problem: find the documents that occur at least T times
 in the lists of its grams. DivideSkip solves it: lists are ordered by length; a match must occur in one of all but the
-T - 1 longest, so only those short lists are merged (a heap merge over the inverted lists of a list's members), and the
-long ones are probed by binary search. A gram that occurs once can't match and is dropped; a document with fewer than T
+T - 1 longest, so only those short lists are merged, and the long ones are probed by binary
+search. The merge is a count over all entries of the short lists (no heap), and inverted lists of up to SMALL documents
+are compared pair by pair without DivideSkip; both give the same counts. A gram that occurs once can't match and is dropped; a document with fewer than T
 grams left can have no partner and leaves the search. Lists are never gathered whole for a gram that is long for all
 its documents. Every row is a query.
 
