@@ -306,9 +306,10 @@ def test_maxent_lm_grows(spark, monkeypatch):
     assert len(maxent_lm.Model.features(maxent_lm.Words(np.frombuffer(b"a b c d", np.uint8), np.array([0, 7])))) == 4
 
 
-def brute_groups(texts, ids, t=ngram_join.THRESHOLD):
-    sets = [set(s.tolist()) for s in ngram_join.gram_sets(pa.array(texts, pa.string()))]
-    root = {i: i for i in ids}
+def brute_links(texts, ids, t=ngram_join.THRESHOLD):
+    """doc_id -> (least id of its group, links), from all pairs."""
+    sets = [{tuple(w)} if 0 < len(w) < 3 else {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in ((x or "").split() for x in texts)]
+    root, links = {i: i for i in ids}, Counter()
 
     def find(x):
         while root[x] != x:
@@ -318,12 +319,21 @@ def brute_groups(texts, ids, t=ngram_join.THRESHOLD):
     for a in range(len(sets)):
         for b in range(a):
             if sets[a] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= t:
+                links[ids[a]] += 1
+                links[ids[b]] += 1
                 x, y = sorted((find(ids[a]), find(ids[b])))
                 root[y] = x
     groups = defaultdict(set)
     for i in ids:
         groups[find(i)].add(i)
-    return {i: min(g) for g in groups.values() if len(g) > 1 for i in g}
+    return {i: (min(g), links[i]) for g in groups.values() if len(g) > 1 for i in g}
+
+
+def near(df, **options):
+    rows = ngram_join.near_groups(df, **options).collect()
+    out = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in rows}
+    assert len(out) == len(rows)
+    return out
 
 
 def test_ngram_join(spark, odd, none):
@@ -337,38 +347,65 @@ def test_ngram_join(spark, odd, none):
                 if rng.random() < 0.03:
                     w[k] = "new" + str(rng.random())
             texts.append(" ".join(w))
+    texts += texts[:7] + texts[:3] + [" ".join(words(rng, 25_000, 10**9))]
     rng.shuffle(texts)
-    got = dict(ngram_join.near_groups(table(spark, texts)).collect())
-    want = brute_groups(texts, list(range(len(texts))))
-    pairs = [(a, b) for a in want for b in want if a < b and want[a] == want[b]]
-    assert np.mean([got.get(a) == got.get(b, -1) for a, b in pairs]) >= 0.97
-    assert all(want.get(i) == g for i, g in got.items()) or len(got) <= len(want)
-    assert dict(ngram_join.near_groups(odd).collect()) == {}
-    two = table(spark, ["a b c d", "a b c d", "z z y x", None, ""], [5, 4, 9, 10, 11])
-    assert dict(ngram_join.near_groups(two).collect()) == {4: 4, 5: 4}
+    want = brute_links(texts, list(range(len(texts))))
+    assert near(table(spark, texts)) == want and len(want) > 20
+    assert near(odd) == {}
+    two = table(spark, ["a b c d", "a b c d", "z z y x", None, "", "a b c d"], [5, 4, 9, 10, 11, 4])
+    assert near(two) == {4: (4, 1), 5: (4, 1)}
     left = ngram_join.one_of_each(two)
-    assert left.columns == two.columns and sorted(r["doc_id"] for r in left.collect()) == [4, 9, 10, 11]
-    assert ngram_join.near_groups(none).count() == 0
+    assert left.columns == two.columns and sorted(r["doc_id"] for r in left.collect()) == [4, 4, 9, 10, 11]
+    # Ids of other types, and an id with two texts, which joins the groups of both.
+    named = spark.createDataFrame([("x", "a b c d"), ("y", "a b c d"), ("y", "e f g h"), ("z", "e f g h")], "doc_id string, text string")
+    assert near(named) == {"x": ("x", 1), "y": ("x", 2), "z": ("x", 1)}
+    assert near(none) == {}
 
 
-def test_ngram_join_large_groups(spark):
-    rng = random.Random(15)
+def families(rng):
+    """Families of 25 texts whose neighbours lie around the threshold, and one of 150 that share their beginning."""
+    texts = []
+    for _ in range(6):
+        base = words(rng, 120, 10**6)
+        for _ in range(25):
+            w = list(base)
+            for k in rng.sample(range(120), rng.randrange(8, 16)):
+                w[k] = f"own{rng.randrange(10**9)}"
+            texts.append(" ".join(w))
     head = words(rng, 102, 10**6)
-    texts = [" ".join(head + words(rng, rng.randrange(53, 79), 10**9)) for _ in range(400)]
-    got = dict(ngram_join.near_groups(table(spark, texts)).collect())
-    want = brute_groups(texts, list(range(len(texts))))
-    assert 100 < len(want) < 380 and len(set(want.values())) == 1
-    assert set(got) <= set(want) and len(got) >= 0.98 * len(want)
-    assert sum(got[i] == want[i] for i in got) >= 0.98 * len(want)
+    return texts + [" ".join(head + words(rng, rng.randrange(53, 79), 10**9)) for _ in range(150)]
+
+
+@pytest.mark.parametrize("part_grams, bins", [(1 << 20, None), (3000, None), (1 << 20, "alone")])
+def test_ngram_join_near_the_threshold(spark, monkeypatch, part_grams, bins):
+    """Every link is found, however the work is divided: whole blocks, parts of them, or every class alone in its block."""
+    texts = families(random.Random(15))
+    want = brute_links(texts, list(range(len(texts))))
+    assert 60 < len(want) < len(texts) and max(n for _, n in want.values()) > 12
+    monkeypatch.setattr(ngram_join, "PART_GRAMS", part_grams)
+    monkeypatch.setattr(ngram_join, "BATCH_BYTES", 50_000)
+    if bins:
+        monkeypatch.setattr(ngram_join, "_labels", lambda able: able.select("rid", F.col("rid").alias("block")).distinct())
+    assert near(table(spark, texts)) == want
 
 
-def test_divide_skip():
+def test_divide_skip(monkeypatch):
     rng = np.random.default_rng(13)
-    lists = [np.unique(rng.integers(0, 50, n)) for n in (3, 5, 8, 20, 45, 50)]
+    lists = [np.unique(rng.integers(0, 50, n)) for n in (3, 5, 8, 20, 45, 50)] + [np.zeros(0, np.int64)]
     count = np.bincount(np.concatenate(lists), minlength=50)
-    for need in range(1, 7):
-        found, n = ngram_join.divide_skip(lists, need, 50)
-        assert found.tolist() == np.flatnonzero(count >= need).tolist() and n.tolist() == count[found].tolist()
+    for heap in (10**6, 0):
+        monkeypatch.setattr(ngram_join, "HEAP", heap)
+        for need in range(1, 8):
+            found, n = ngram_join.divide_skip(lists, need, 50)
+            assert found.tolist() == np.flatnonzero(count >= need).tolist() and n.tolist() == count[found].tolist()
+
+
+def test_packed_grams():
+    rng = np.random.default_rng(17)
+    for n, top in ((0, 9), (1, 1 << 40), (5, 1 << 40), (9000, 1 << 40), (50, 60)):
+        x = np.sort(rng.integers(0, top, n)).astype(np.uint64)
+        assert ngram_join.unpack(ngram_join.pack(x)).tolist() == x.tolist()
+        assert ngram_join._unpack48(ngram_join._pack48(x)).tolist() == x.tolist()
 
 
 def test_line_dedup(spark, odd, none):
