@@ -297,13 +297,110 @@ def test_maxent_lm(spark, odd, none):
 
 def test_maxent_lm_grows(spark, monkeypatch):
     docs = table(spark, [" ".join(f"v{k} v{k}" for k in range(3000)) + " once"])
+    monkeypatch.setattr(maxent_lm, "WIDTH", 4)
     small = maxent_lm.train(docs)
-    assert len(small.words) >= 1792 and small.of_class.shape[1] >= 32 and small.of_place.shape[1] >= 64
+    assert small.width == 4 and small.own == 56 and all(x.shape == (1 << b, 4) for x, b in zip(small.tables, small.bits))
     monkeypatch.setattr(maxent_lm, "FREQUENT", 2)
     large = maxent_lm.train(docs)
-    assert len(large.words) >= 3000 and large.of_place.size > small.of_place.size
-    assert large.top + large.oov == large.of_class.shape[1] * large.members
-    assert len(maxent_lm.Model.features(maxent_lm.Words(np.frombuffer(b"a b c d", np.uint8), np.array([0, 7])))) == 4
+    assert len(large.words) >= 3000 and large.width == 16 and sum(x.size for x in large.tables) > 8 * sum(x.size for x in small.tables)
+    assert large.own + large.shared == large.width**3 == len(large.log_types)
+
+
+def lm_words(text):
+    return maxent_lm.Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+
+
+def small_model(rng):
+    """A model of 4 ** 3 places with weights at random, and the words it counts on: 50 with places, 30 that share."""
+    vocabulary = [f"t{k}" for k in range(80)]
+    h = np.concatenate([lm_words(w).hash for w in vocabulary])
+    types = np.ones(64)
+    types[56:] = np.bincount((h[50:] % np.uint64(8)).astype(int), minlength=8)
+    model = maxent_lm.Model(h[:50], types, 4, 8, (5, 6, 7))
+    for t in model.tables:
+        t += rng.normal(size=t.shape).astype(np.float32)
+    return model, vocabulary
+
+
+def lm_rows(model, f, place, level):
+    """The rows of a level for one word: the hash of each feature with the digits so far."""
+    M = 1 << 64
+    before = place // model.width ** (2 - level)
+    before //= model.width
+    out = []
+    for x in f:
+        x = int(x)
+        if level:
+            x = (x + before * int(maxent_lm.BASE)) % M
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ (x >> shift)) * factor % M
+            x ^= x >> 31
+        out.append(x >> (64 - model.bits[level]))
+    return out
+
+
+def test_maxent_probabilities_are_softmax():
+    rng = np.random.default_rng(18)
+    model, vocabulary = small_model(rng)
+    seen = lm_words(" ".join(rng.choice(vocabulary, 40)))
+    f, place = model.features(seen), model.places(seen.hash)
+    assert f.shape == (4, 40)
+    got = model.score(seen)
+    for k in range(40):
+        want = -np.log(max(1, np.exp(model.log_types[place[k]])))
+        for level in range(3):
+            z = sum(model.tables[level][r].astype(float) for r in lm_rows(model, f[:, k], int(place[k]), level))
+            want += z[place[k] // 4 ** (2 - level) % 4] - np.log(np.exp(z).sum())
+        assert got[k] == pytest.approx(want, abs=1e-4)
+    # After any words, the places share one.
+    total = sum(np.exp(model.log_probability(f[:, [k] * 64], np.arange(64)) + model.log_types) for k in (0, 5, 39))
+    assert total.sum() == pytest.approx(3, abs=1e-4)
+    # Of the places that words share, each type has its part.
+    ends = [np.exp(model.score(lm_words("t1 t2 t3 " + w))[-1]) for w in vocabulary]
+    empty = [p for p in range(64) if not np.isin(p, model.places(np.concatenate([lm_words(w).hash for w in vocabulary])))]
+    ghosts = np.exp(model.log_probability(model.features(lm_words("t1 t2 t3 t4"))[:, [3] * len(empty)], np.array(empty))).sum()
+    assert sum(ends) + ghosts == pytest.approx(1, abs=1e-4)
+
+
+def test_maxent_update_is_the_gradient():
+    rng = np.random.default_rng(19)
+    model, vocabulary = small_model(rng)
+    seen = lm_words(" ".join(rng.choice(vocabulary[:9], 30)))
+    f, place = model.features(seen), model.places(seen.hash)
+    start = model.copy()
+    # The gradient by differences of the likelihood.
+    slope = [np.zeros(t.shape) for t in model.tables]
+    for level, t in enumerate(model.tables):
+        for r, c in {(r, c) for k in range(30) for r in lm_rows(model, f[:, k], int(place[k]), level) for c in range(4)}:
+            old, ends = t[r, c], []
+            for e in (1e-2, -1e-2):
+                t[r, c] = old + np.float32(e)
+                ends.append(model.score(seen).sum())
+            t[r, c] = old
+            slope[level][r, c] = (ends[0] - ends[1]) / 2e-2
+    # Scaled steps, word by word and feature by feature.
+    want, past = [t.astype(float) for t in model.tables], [np.zeros(1 << b) for b in model.bits]
+    plain = [np.zeros(t.shape) for t in model.tables]
+    for level in range(3):
+        rows = np.array([lm_rows(model, f[:, k], int(place[k]), level) for k in range(30)])
+        g = np.zeros((30, 4))
+        for k in range(30):
+            z = sum(start.tables[level][r].astype(float) for r in rows[k])
+            g[k] = -np.exp(z) / np.exp(z).sum()
+            g[k, place[k] // 4 ** (2 - level) % 4] += 1
+            for r in rows[k]:
+                plain[level][r] += g[k]
+        for feature in range(4):
+            for k in range(30):
+                past[level][rows[k, feature]] += (g[k] ** 2).mean()
+            for k in range(30):
+                want[level][rows[k, feature]] += 0.1 * g[k] / np.sqrt(past[level][rows[k, feature]] + 1e-3)
+    for x, y in zip(plain, slope):
+        assert np.allclose(x, y, atol=2e-2)
+    model.update(f, place, 0.1)
+    for got, x in zip(model.tables, want):
+        assert np.allclose(got, x, atol=1e-4)
+    assert model.score(seen).sum() > start.score(seen).sum()
 
 
 def brute_links(texts, ids, t=ngram_join.THRESHOLD):
