@@ -48,7 +48,7 @@ from ._words import BASE, U, Words, chunks, mix
 GRAM = 3
 THRESHOLD = 0.45
 #: Bytes of text, and documents at most, that are sent out together.
-BATCH_BYTES, BATCH_DOCS = 8 << 20, 60_000
+BATCH_BYTES, BATCH_DOCS = 4 << 20, 60_000
 #: Entries of short lists up to which a heap merges them.
 HEAP = 512
 #: Grams of a part of a block.
@@ -189,41 +189,47 @@ def _scatter(n: int, parts: int, kind: pa.DataType):
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over one part: the grams that occur more than once go back to their batches, with a logarithm of their number."""
-    rows, keys, counts = [], [], []
+    rows, schema = [], None
     for batch in batches:
+        schema = batch.schema
         own = pc.is_valid(batch.column("ids"))
         if own.true_count:
             mine = batch.filter(own)
             yield pa.RecordBatch.from_arrays([mine.column(c) for c in _NAMES], _NAMES)
         rest = batch.filter(pc.invert(own))
-        for p, b, one, holder, more, times in zip(*(rest.column(c).to_pylist() for c in ("part", "batch", "one", "holder", "more", "times"))):
-            x, y = (unpack(s) | U(p << 40) for s in (one, more))
-            rows.append((p, b, len(x), len(y), holder))
-            keys += [x, y]
-            counts += [np.ones(len(x), np.uint32), np.frombuffer(times, "<u2").astype(np.uint32)]
+        rows += zip(*(rest.column(c).to_pylist() for c in ("part", "batch", "one", "holder", "more", "times")))
+        del batch, own, rest
     if not rows:
         return
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    del keys, counts
-    order = np.argsort(key)
-    head = _runs(key[order])
-    total = np.add.reduceat(count[order], head, dtype=np.int64)
-    level = np.empty(len(key), np.uint8)
-    level[order] = np.repeat(np.where(total > 1, np.minimum(255, 1 + np.round(8 * np.log2(total))), 0).astype(np.uint8), np.diff(np.append(head, len(key))))
-    at, out = 0, []
-    for p, b, n_one, n_more, holder in rows:
-        parts = []
-        for n, extra in ((n_one, np.frombuffer(holder, "<u2")), (n_more, None)):
-            hit = level[at : at + n] > 0
-            found = key[at : at + n][hit] & _LOW
-            parts += [pack(found), (b"" if extra is None else extra[hit].tobytes()) + level[at : at + n][hit].tobytes()]
-            at += n
-        if len(parts[0]) > 1 or len(parts[2]) > 1:
-            out.append((p, b, *parts))
+    keys = lambda r: [unpack(s) | U(r[0] << 40) for s in (r[2], r[4])]
+    every = np.concatenate([x for r in rows for x in keys(r)])
+    every.sort()
+    same = every[1:] == every[:-1]
+    often = np.unique(np.concatenate((every[1:][same], *(keys(r)[1] for r in rows))))
+    del every, same
+    total = np.zeros(len(often), np.int64)
+
+    def places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(often, x), max(0, len(often) - 1))
+        hit = often[at] == x if len(often) else np.zeros(len(x), bool)
+        return at[hit], hit
+
+    for r in rows:
+        x, y = keys(r)
+        total[places(x)[0]] += 1  # a batch has a key once
+        total[places(y)[0]] += np.frombuffer(r[5], "<u2")
+    level = np.minimum(255, 1 + np.round(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8)
+    out = []
+    for r in rows:
+        x, y = keys(r)
+        at, hit = places(x)
+        if len(at) or len(y):
+            out.append((*r[:2], pack(x[hit] & _LOW), np.frombuffer(r[3], "<u2")[hit].tobytes() + level[at].tobytes(), pack(y & _LOW), level[places(y)[0]].tobytes()))
+    del rows
     for lo in range(0, len(out), 256):
         cols = list(zip(*out[lo : lo + 256]))
         k = len(cols[0])
-        empty = [_null(c, k, rest.schema) for c in _NAMES[2:8]]
+        empty = [_null(c, k, schema) for c in _NAMES[2:8]]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *empty, *(pa.array(c, pa.binary()) for c in cols[2:])], _NAMES)
 
 
