@@ -71,15 +71,8 @@ def test_quality_rules(spark, odd, none):
     assert quality_rules.kept(none).count() == 0
 
 
-def test_suffix_dedup(spark, odd, none):
-    rng = random.Random(2)
-    p, q = words(rng, 60), words(rng, 49)
-    docs = [words(rng, 200) for _ in range(12)]
-    for k in (1, 4, 7):
-        docs[k] = docs[k][:70] + p + docs[k][70:]
-    for k in (2, 5):
-        docs[k] = docs[k][:20] + q + docs[k][20:]
-    docs.append(docs[3])
+def brute_passages(docs):
+    """Words inside repeated windows of 50, and inside later occurrences, by document."""
     occ = defaultdict(list)
     for d, w in enumerate(docs):
         for i in range(len(w) - 49):
@@ -91,12 +84,41 @@ def test_suffix_dedup(spark, odd, none):
                 every[d].update(range(i, i + 50))
                 if k:
                     later[d].update(range(i, i + 50))
-    rows = suffix_dedup.repeated_passages(table(spark, [" ".join(w) for w in docs])).collect()
+    return every, later
+
+
+def passages(df):
+    rows = suffix_dedup.repeated_passages(df).collect()
     cover = lambda spans: {x for s in spans for x in range(s["start"], s["end"])}
-    assert {r["doc_id"]: cover(r["spans"]) for r in rows} == every
-    assert {r["doc_id"]: cover(r["drop"]) for r in rows if r["drop"]} == later
-    assert {r["doc_id"] for r in suffix_dedup.repeated_passages(odd).collect()} <= {6}
-    assert suffix_dedup.repeated_passages(none).count() == 0
+    return {r["doc_id"]: cover(r["spans"]) for r in rows}, {r["doc_id"]: cover(r["drop"]) for r in rows if r["drop"]}
+
+
+def test_suffix_dedup(spark, odd, none):
+    rng = random.Random(2)
+    p, q = words(rng, 60), words(rng, 49)
+    docs = [words(rng, 200) for _ in range(12)]
+    for k in (1, 4, 7):
+        docs[k] = docs[k][:70] + p + docs[k][70:]
+    for k in (2, 5):
+        docs[k] = docs[k][:20] + q + docs[k][20:]
+    docs += [docs[3], words(rng, 9000) + p + words(rng, 9000)]
+    df = table(spark, [" ".join(w) for w in docs])
+    assert passages(df) == brute_passages(docs)
+    assert passages(df.union(df)) == brute_passages(docs)  # repeated rows are the same occurrence
+    assert passages(odd) == ({6: set(range(3000))}, {6: set(range(1, 3000))})
+    assert passages(none) == ({}, {})
+
+
+def test_suffix_dedup_of_repeated_words(spark):
+    """Runs of one word, as many different ones as have equal 16-bit codes among them, and lines said again and again."""
+    rng = random.Random(20)
+    docs = [[f"run{rng.randrange(10**9)}" for _ in range(8)] for _ in range(60)]
+    docs = [[w for w in d for _ in range(rng.randrange(52, 60))] for d in docs]
+    codes = [suffix_dedup.Words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hash[0] >> np.uint64(48) for d in docs for w in set(d)]
+    assert len(set(codes)) < len(codes)
+    line = words(rng, 17)
+    docs += [line * 9, words(rng, 30) + line * 4, words(rng, 30) + line * 4 + words(rng, 30)]
+    assert passages(table(spark, [" ".join(w) for w in docs])) == brute_passages(docs)
 
 
 def test_multikey_quicksort():

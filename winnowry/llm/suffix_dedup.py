@@ -7,7 +7,8 @@ while only about 2 in WINDOW + 1 positions need a suffix.
 
 1. Anchors are counted by the 64-bit hash of the MIN_WORDS - WINDOW + 1 words that follow (map-side combining); those
    that occur once leave.
-2. The rest get their context: the leading MIN_WORDS words and WINDOW - 1 words before, 16 bits each.
+2. The rest get their context: those words, 16 bits each for sorting, with their 64-bit hash as the last resort, and
+   32 bits of the hash of each window of MIN_WORDS words that begins at the anchor or up to WINDOW - 1 words before it.
 3. Sampled splitters range-partition the suffixes by their leading words; ties are split by place, so a passage with
    any number of copies spreads over several buckets.
 4. Each bucket is sorted by multikey quicksort. Neighbours whose common prefix is long enough form runs; in a run, the
@@ -15,9 +16,10 @@ while only about 2 in WINDOW + 1 positions need a suffix.
    across the boundary, by an aggregation over the hashes of their windows.
 5. Windows merge to spans by document.
 
-Words beyond those that the 64-bit hash covers are compared by 16 bits, so one end in 65,536 is a word too long.
+Two windows are equal if the 64 bits of their common words and the 32 bits of their whole are.
 
-Defined results: null, empty and short texts have no spans and no row. Of equal places the first by (doc_id, position)
+Defined results: null, empty and short texts have no spans and no row; an empty table gives an empty result. A passage
+may repeat within one document, overlapping itself: a word said 51 times in a row is a repeated passage. Of equal places the first by (doc_id, position)
 is kept, later ones are listed in ``drop``; both appear in ``spans``. Rows that agree in doc_id and text are the same
 occurrence, and a null doc_id sorts first. Very long texts are handled whole. Other columns are not read.
 """
@@ -94,26 +96,32 @@ def _anchor_lists(min_words: int, w: int):
 
 
 def _contexts(min_words: int, w: int):
-    """array<struct<pos, right, left>>: big-endian 16-bit codes of the words from pos on and before it, 0 beyond the text."""
+    """array<struct<pos, right, windows>>: right holds big-endian 16-bit codes of the words from pos on and their 64-bit
+    hash, windows 32 bits of the hash of each window, 0 where it leaves the text."""
+    lead = min_words - w + 1
 
     def cut_out(texts: pa.Array, places: pa.Array) -> pa.Array:
-        off, parts, rights, lefts = [0], [], [], []
+        off, parts, rights, windows = [0], [], [], []
         p_off, p_all = places.offsets.to_numpy().astype(np.int64), places.values.to_numpy().astype(np.int64)
         for lo, hi, data, o in chunks(texts):
             words = Words(data, o)
-            code = np.maximum(words.hash >> U(48), U(1)).astype(np.uint16)
+            whole, ok = words.grams(min_words)
+            whole = np.append(np.where(ok, (whole >> U(32)) | U(1), U(0)).astype("<u4"), np.uint32(0))
+            code = (words.hash >> U(48)).astype(">u2")
             mine = p_all[p_off[lo] : p_off[hi]]
             row = np.repeat(np.arange(hi - lo), np.diff(p_off[lo : hi + 1]))
             at = mine + words.ptr[row]
-            code = np.append(code, np.uint16(0))
-            right, left = np.zeros((len(at), min_words), ">u2"), np.zeros((len(at), w - 1), ">u2")
-            for k in range(min_words):
-                right[:, k] = code[np.where(at + k < words.ptr[row + 1], at + k, -1)]
-            for k in range(w - 1):
-                left[:, k] = code[np.where(at - 1 - k >= words.ptr[row], at - 1 - k, -1)]
+            right, window = np.zeros((len(at), lead + 4), ">u2"), np.zeros((len(at), w), "<u4")
+            acc = np.zeros(len(at), U)
+            for k in range(lead):
+                right[:, k] = code[at + k]
+                acc = acc * BASE + words.hash[at + k]
+            right[:, lead:] = mix(acc).astype(">u8").view(">u2").reshape(-1, 4)
+            for k in range(w):
+                window[:, k] = whole[np.where(mine >= k, at - k, -1)]
             parts.append(mine)
             rights.append(right)
-            lefts.append(left)
+            windows.append(window)
             off += (p_off[lo + 1 : hi + 1] - p_off[0]).tolist()
 
         def binary(rows: list[np.ndarray], width: int) -> pa.Array:
@@ -123,13 +131,11 @@ def _contexts(min_words: int, w: int):
             return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
 
         pos = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        inner = pa.StructArray.from_arrays(
-            [pa.array(pos.astype(np.int32)), binary(rights, 2 * min_words), binary(lefts, 2 * (w - 1))], ["pos", "right", "left"]
-        )
+        inner = pa.StructArray.from_arrays([pa.array(pos.astype(np.int32)), binary(rights, 2 * lead + 8), binary(windows, 4 * w)], ["pos", "right", "windows"])
         return pa.ListArray.from_arrays(pa.array(np.array(off, np.int32)), inner)
 
     cut_out.__annotations__ = {"texts": pa.Array, "places": pa.Array, "return": pa.Array}
-    return F.arrow_udf(cut_out, "array<struct<pos:int,right:binary,left:binary>>").asNondeterministic()
+    return F.arrow_udf(cut_out, "array<struct<pos:int,right:binary,windows:binary>>").asNondeterministic()
 
 
 def multikey_quicksort(m: np.ndarray) -> np.ndarray:
@@ -153,23 +159,6 @@ def multikey_quicksort(m: np.ndarray) -> np.ndarray:
     return order
 
 
-def _window_keys(right: np.ndarray, left: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (row, o) of the window that begins o words before the anchor, and whether it lies in the text."""
-    m, w = len(right), left.shape[1] + 1
-    keys, ok = np.zeros((m, w), U), np.zeros((m, w), bool)
-    behind = [np.zeros(m, U)]
-    for k in range(w - 1):
-        behind.append(behind[-1] * BASE + left[:, k].astype(U) + U(1))
-    acc, lead = np.zeros(m, U), min_words - w + 1
-    for k in range(min_words):
-        acc = acc * BASE + right[:, k].astype(U) + U(1)
-        o = min_words - k - 1
-        if k + 1 >= lead:
-            keys[:, o] = mix(acc + mix(behind[o] + U(o + 1)))
-            ok[:, o] = (right[:, k] > 0) & ((left[:, o - 1] > 0) if o else True)
-    return keys, ok
-
-
 def _bucket(min_words: int, w: int):
     lead = min_words - w + 1
 
@@ -180,23 +169,22 @@ def _bucket(min_words: int, w: int):
         t = pa.Table.from_batches(got).combine_chunks()
         n = t.num_rows
 
-        def codes(name: str, width: int) -> np.ndarray:
+        def flat(name: str, width: int, kind: str) -> np.ndarray:
             col = t[name].chunk(0)
             start = np.frombuffer(col.buffers()[1], np.int32)[col.offset]
-            flat = np.frombuffer(col.buffers()[2], ">u2", n * width, start)
-            return flat.reshape(n, width).astype(np.uint16)
+            return np.frombuffer(col.buffers()[2], kind, n * width, start).reshape(n, width)
 
-        right, left = codes("right", min_words), codes("left", w - 1)
+        right, windows = flat("right", lead + 4, ">u2").astype(np.uint16), flat("windows", w, "<u4")
         place = t.select(["doc_id", "did", "pos"])
         order = multikey_quicksort(right)
         s = right[order]
-        common = (s[1:, :lead] == s[:-1, :lead]).all(axis=1)
+        common = (s[1:] == s[:-1]).all(axis=1)
         run_id = np.concatenate(([0], np.cumsum(~common)))
         edge = np.zeros(n, bool)
         edge[order] = (run_id == 0) | (run_id == run_id[-1])
-        of = np.empty(n, np.int64)
-        of[order] = run_id
-        keys, ok = _window_keys(right, left, min_words)
+        said = np.ascontiguousarray(right[:, lead:]).astype(">u2").view(">u8").reshape(-1).astype(U)  # the hash of the common words
+        ok = windows > 0
+        keys = mix(said[:, None] + (windows.astype(U) << U(5)) + np.arange(w, dtype=U))
         who = pa.compute.rank(t["did"].combine_chunks(), tiebreaker="dense").to_numpy().astype(np.int64)
         doc = t["doc_id"].combine_chunks()
         rank = pa.compute.rank(doc, null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
@@ -204,7 +192,7 @@ def _bucket(min_words: int, w: int):
         every, later = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for o in range(w):
             mine = np.flatnonzero(ok[:, o] & ~edge)
-            k = mix(keys[mine, o] + of[mine].astype(U) * BASE)
+            k = keys[mine, o]
             by = np.lexsort((pos[mine], who[mine], rank[mine], k))
             mine, k = mine[by], k[by]
             if len(mine) < 2:
