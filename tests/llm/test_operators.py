@@ -295,6 +295,28 @@ def test_rans(spark, odd, none):
     assert rans.encoded_blocks(none).count() == 1
 
 
+def test_rans_blocks(spark):
+    rng = random.Random(21)
+    texts = [" ".join(words(rng, n)) for n in (5, 40, 3000, 5, 5, 60, 900, 10)]
+    docs = table(spark, texts).coalesce(1)
+    size = [len(sentencepiece_bpe.vocabulary().library.encode(t)) for t in texts]
+    blocks = [r["doc_ids"] for r in rans.encoded_blocks(docs, block=1000).filter("block >= 0").orderBy("block").collect()]
+    want, now, have = [], [], 0
+    for d, n in enumerate(size):
+        if now and n > 1000:
+            want.append(now)
+            now, have = [], 0
+        now, have = now + [d], have + n
+        if have >= 1000:
+            want.append(now)
+            now, have = [], 0
+    assert blocks == want + [now] * bool(now) and [2] in blocks and [6] in blocks
+    for kind in ("string", "decimal(20,2)", "date", "binary", "double", "timestamp", "int"):
+        some = docs.withColumn("doc_id", F.date_add(F.lit("2020-01-01"), F.col("doc_id").cast("int")) if kind in ("date", "timestamp") else F.col("doc_id").cast("string")).withColumn("doc_id", F.col("doc_id").cast(kind))
+        back = rans.decoded(rans.encoded_blocks(some, block=1000)).collect()
+        assert Counter((str(r["doc_id"]), len(r["token_ids"])) for r in back) == Counter((str(r["doc_id"]), n) for r, n in zip(some.select("doc_id").collect(), size))
+
+
 def test_maxent_lm(spark, odd, none):
     rng = random.Random(11)
     chain = {k: [rng.randrange(30) for _ in range(2)] for k in range(30)}

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
@@ -162,3 +163,8 @@ def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         every[order[:-1]] = same
         every |= later
     return every, later
+
+
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    """How a column travels in Arrow batches."""
+    return df.select(df[column]).limit(0).toArrow().schema.field(0).type

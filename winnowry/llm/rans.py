@@ -8,9 +8,10 @@ the ids up to the next, so that pieces of a block, and blocks, decode in paralle
 
 The first row of the result (block -1) holds the table; all others are blocks.
 
-Defined results: a null text has length -1 and no ids, an empty one length 0. A document longer than BLOCK gets a block
-of its own; documents are never divided. Repeated rows are coded each for itself, a null id stays null. An empty table
-gives the table row alone. Other columns are not read.
+Defined results: a null text has length -1 and no ids, an empty one length 0. A block is closed when it has BLOCK ids, and
+before a document of more than BLOCK ids, which gets a block of its own; documents are never divided. Repeated rows are
+coded each for itself, and equal texts give equal ids wherever they stand; a null id stays null; ids may be of any type. An
+empty table gives the table row alone. Of ids that are equally frequent, the least takes what rounding leaves. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from winnowry.session import cut
 
+from ._words import arrow_type
 from .sentencepiece_bpe import MEMO, MODEL, vocabulary
 
 SCALE = 20
@@ -142,6 +144,9 @@ def _blocks(path: str, block: int, kind: pa.DataType):
                     v.words.reset()
                 texts = part.column(1).to_pylist()
                 for d, t, r in zip(part.column(0).to_pylist(), texts, v.encode_many([t or "" for t in texts])):
+                    if docs and len(r) > block:
+                        yield close()
+                        docs, rows, have = [], [], 0
                     docs.append(d)
                     rows.append(None if t is None else (r := r.astype(np.uint16 if small else np.int32)))
                     have += 0 if r is None else len(r)
@@ -200,7 +205,7 @@ def encoded_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(block, doc_ids, lengths, n_tokens, payload, checkpoints, crc); block -1 holds the frequencies as 32-bit numbers."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    arrow = arrow_type(docs, id_col)
     base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     made = base.mapInArrow(_blocks(path, block, arrow), f"doc_ids array<{kind}>, lengths array<int>, ids binary")
     stored = cut(made.withColumn("block", F.monotonically_increasing_id()), "op7-ids")
