@@ -146,8 +146,14 @@ def test_chat_format(spark):
     out = {r["conv_id"]: r for r in chat_format.chat_format(strange, hmm).collect()}
     assert out[None]["n_turns"] == out[1]["n_turns"] == out[2]["n_turns"] == 0 and out[1]["rendered"] == ""
     assert out[3]["rendered"].startswith("<|user|>\nhi\n<|end|>\n<|assistant|>\nyes\nmore")
-    gaps = spark.createDataFrame([(None, None, None, None), (1, 0, "user", "a"), (1, 0, "user", "a")], conv.schema)
-    assert chat_format.transcripts(gaps).count() == 2
+    gaps = spark.createDataFrame([(None, None, None, None), (None, 1, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a")], conv.schema)
+    assert sorted((r["conv_id"] or 0, r["text"][-1:]) for r in chat_format.transcripts(gaps).collect() if r["text"])[-1] == (1, "a")
+    assert chat_format.transcripts(gaps).count() == 3
+    clash = conv.withColumns({c: F.lit("x") for c in ("t", "raw", "roles", "turns", "alone", "p", "n_turns")})
+    same = lambda c: sorted(map(str, chat_format.chat_format(chat_format.transcripts(c), hmm).collect()))
+    assert same(clash) == same(conv)
+    long = chat_format.chat_format(spark.createDataFrame([(1, "User: " + "x " * 200_000 + "\n\nBot: " + "y\n" * 20_000)], "conv_id long, text string"), hmm).first()
+    assert len(long["rendered"]) > 430_000 and set(long["roles"]) <= {"user", "assistant"}
     assert chat_format.chat_format(chat_format.transcripts(conv.limit(0)), chat_format.train(made.limit(0))).count() == 0
 
 
@@ -262,6 +268,57 @@ def test_near_copies():
     assert not toxicity.near_copies(t.hash, t.ptr).any()
 
 
+def crf_by_paths(crf, t, y=None):
+    """Marginals of toxic by enumeration of all labellings of one short text; with y, the logarithm of its probability."""
+    import itertools
+
+    e = toxicity.VALUES @ crf.weights[t.features].astype(float)
+    n = len(e)
+    def weight(p):
+        return crf.start * p[0] + sum(crf.move[a, b] for a, b in zip(p, p[1:])) + sum(e[k] for k in range(n) if p[k])
+    paths = list(itertools.product((0, 1), repeat=n))
+    w = np.array([weight(p) for p in paths])
+    total = np.logaddexp.reduce(w)
+    if y is not None:
+        return weight(tuple(y)) - total
+    return np.array([np.exp(np.logaddexp.reduce([x for x, p in zip(w, paths) if p[k]]) - total) for k in range(n)])
+
+
+def tokens_of(texts):
+    data = "".join(texts).encode()
+    return toxicity.Tokens(np.frombuffer(data, np.uint8), np.cumsum([0] + [len(x.encode()) for x in texts]))
+
+
+def test_crf_marginals_and_gradient(monkeypatch):
+    rng = np.random.default_rng(22)
+    monkeypatch.setattr(toxicity, "BITS", 8)
+    texts = ["a b c d e", "b", "c a a b", "d e f g h i"]
+    crf = toxicity.Crf(rng.normal(size=256).astype(np.float32), rng.normal(size=(2, 2)), 0.3)
+    want = np.concatenate([crf_by_paths(crf, tokens_of([x])) for x in texts])
+    assert np.allclose(crf.marginals(tokens_of(texts)), want, atol=1e-5)
+    # One round of fit() is a step of the rate along the sign of the gradient, wherever there is one.
+    t, y = tokens_of(texts), np.array([0, 1, 1, 0, 0, 1, 0, 0, 1, 1, 0, 0, 0, 1, 0, 1])
+    start = toxicity.Crf(np.zeros(256, np.float32), np.array([[0.0, -3.0], [0.0, -1.0]]), -3.0)
+    like = lambda c: sum(crf_by_paths(c, tokens_of([x]), y[a:b]) for x, a, b in zip(texts, t.ptr[:-1], t.ptr[1:]))
+    made = toxicity.fit([(t, y)], rounds=1, rate=1.0, decay=0.0)
+    for k in np.unique(t.features):
+        ends = []
+        for d in (1e-3, -1e-3):
+            w = np.zeros(256)
+            w[k] = d
+            ends.append(like(toxicity.Crf(w, start.move, start.start)))
+        assert made.weights[k] == pytest.approx(np.sign(ends[0] - ends[1]), abs=1e-3)
+    for a, b in ((0, 1), (1, 0), (1, 1)):
+        ends = []
+        for d in (1e-3, -1e-3):
+            move = start.move.copy()
+            move[a, b] += d
+            ends.append(like(toxicity.Crf(start.weights, move, start.start)))
+        assert np.sign(made.move[a, b] - start.move[a, b]) == np.sign(ends[0] - ends[1])
+    more = toxicity.fit([(t, y)], rounds=30, rate=0.5, decay=0.0)
+    assert like(more) > like(made) > like(start)
+
+
 def test_scan_is_exact():
     rng = np.random.default_rng(9)
     for n in (1, 2, 7, 100, 1001):

@@ -11,8 +11,10 @@ The query makes transcripts of ``conversations``: the style of markers depends o
 turn in seven has none. The model is counted on them with the known roles, and the roles are recovered from text alone.
 
 Defined results: null and blank transcripts have no turns and render as ''. Null texts and roles in ``conversations``
-count as an empty text and as user; equal turn numbers are ordered by role and text; a null conv_id is one group.
-Repeated rows are repeated turns. Very long lines and texts are handled whole. Other columns are not read.
+count as an empty text and as user; equal turn numbers are ordered by role and text. A null conv_id names no conversation:
+each of its turns is a transcript of its own (equal ones together). Repeated rows are repeated turns. Of paths that are
+equally probable the one with the first states is taken. An empty table gives an empty result. A transcript is one text,
+so all turns of a conversation meet in one row; very long lines and texts are handled whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -204,7 +206,7 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     at = F.when(role == "system", 0).when(role == "user", 1).otherwise(2)
     text = F.coalesce("text", F.lit(""))
     turn = conversations.select("conv_id", F.struct("turn", role.alias("role"), F.when(bare, text).otherwise(F.concat(prefix[at], text)).alias("raw")).alias("t"))
-    packed = turn.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
+    packed = turn.groupBy("conv_id", F.when(F.col("conv_id").isNull(), F.struct("t.turn", "t.role", "t.raw")).alias("alone")).agg(F.array_sort(F.collect_list("t")).alias("t"))
     turns = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["raw"].alias("raw")))
     return packed.select("conv_id", turns.alias("turns"), F.array_join("t.raw", "\n\n").alias("text"))
 

@@ -11,9 +11,11 @@ shingles are looked up by every shingle, which misses none. Candidates are verif
 the item's distinct shingles that the document has.
 
 The documents are read once per slice of the items, with no shuffle: the table of a slice is limited to SLICE_BYTES,
-and more items make more slices, so what travels to the executors never grows beyond that.
+and more items make more slices, so what travels to the executors never grows beyond that. Slices are made one after
+the other, and the result of each is written before the next, so the driver holds one at a time.
 
-Defined results: null, empty and blank texts and items match nothing; an item or document shorter than 3 words is one
+Defined results: of a tie, that is an item at the threshold, the document counts as contaminated; an empty table of
+documents or items gives an empty result. Very long texts are searched whole. Null, empty and blank texts and items match nothing; an item or document shorter than 3 words is one
 shingle of all its words. Words are compared as they are. Rows that share an id are judged each by itself; repeated
 rows repeat their results, but an item row repeated with equal id and text counts once. Null ids are reported as null.
 Other columns are not read.
@@ -22,12 +24,15 @@ Other columns are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from winnowry.session import cut
+
 from ._words import U, Words, chunks, mix
 
 SHINGLE = 3
@@ -130,20 +135,17 @@ class Items:
         return out
 
 
-def _slices(items: DataFrame, id_col: str, text_col: str, hashes: int) -> list[tuple[list, list[str]]]:
-    """The items in slices whose tables stay below SLICE_BYTES."""
+def _slices(items: DataFrame, id_col: str, text_col: str, hashes: int) -> Iterator[tuple[list, list[str], bool]]:
+    """The items in slices whose tables stay below SLICE_BYTES, one at a time, and whether there are several."""
     base = items.select(items[id_col].alias("item_id"), items[text_col].alias("text")).filter(F.length(F.trim("text")) > 0).distinct()
     n, size = base.select(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = max(1, math.ceil((n * hashes * 12 + size * 3) / SLICE_BYTES))
-    if parts == 1:
-        rows = base.collect()
-        return [([r[0] for r in rows], [r[1] for r in rows])] if rows else []
-    found = []
+    if parts > 1:
+        base = cut(base.withColumn("part", F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)).cast("int")), "op4-items")
     for p in range(parts):
-        rows = base.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == p).collect()
+        rows = (base.filter(F.col("part") == p) if parts > 1 else base).collect()
         if rows:
-            found.append(([r[0] for r in rows], [r[1] for r in rows]))
-    return found
+            yield [r[0] for r in rows], [r[1] for r in rows], parts > 1
 
 
 def _hits(text: Column, table: Items, threshold: float) -> Column:
@@ -177,7 +179,7 @@ def contaminated(
     out = None
     base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = items.schema[item_id].dataType
-    for ids, texts in _slices(items, item_id, item_text, hashes):
+    for ids, texts, several in _slices(items, item_id, item_text, hashes):
         table = Items(ids, texts, shingle, hashes)
         found = base.select("doc_id", F.explode(_hits(F.col("text"), table, threshold)).alias("h"))
         names = F.array(*[F.lit(x).cast(kind) for x in ids]) if len(ids) <= 1000 else None
@@ -186,6 +188,7 @@ def contaminated(
         else:
             lookup = docs.sparkSession.createDataFrame(list(enumerate(ids)), f"item int, item_id {kind.simpleString()}")
             found = found.select("doc_id", "h.*").join(lookup, "item").select("doc_id", "item_id", "containment")
+        found = cut(found, "op4-slice") if several else found
         out = found if out is None else out.unionByName(found)
     if out is None:
         return base.select("doc_id", F.lit(None).cast(kind).alias("item_id"), F.lit(0.0).alias("containment")).filter("false")
@@ -195,9 +198,10 @@ def contaminated(
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:
     """``docs`` without the documents that contain an item."""
     names = docs.columns
-    for ids, texts in _slices(items, "item_id", "text", hashes):
+    for ids, texts, several in _slices(items, "item_id", "text", hashes):
         packed = docs.select(F.struct(*[docs[c] for c in names]).alias("r"), _hits(docs[text_col], Items(ids, texts, SHINGLE, hashes), threshold).alias("h"))
         docs = packed.filter(F.size("h") == 0).select("r.*")
+        docs = cut(docs, "op4-clean") if several else docs
     return docs
 
 

@@ -10,8 +10,9 @@ the documents. Two 64-bit hashes identify a window.
 
 Defined results: null and empty texts and texts of fewer than three non-blank lines stay as they are. Rows that agree
 in doc_id and text are the same occurrence, so repeated rows get the same result and neither loses anything to the
-other; a null doc_id sorts first and matches only itself. Blank lines always stay. Other columns are not read; the
-result has doc_id, text and n_removed alone.
+other; a null doc_id sorts first and matches only itself; of equal windows in one document the first place counts. Blank
+lines always stay. An empty table gives an empty result. Very long texts are handled whole. Other columns are not read;
+the result has doc_id, text and n_removed alone.
 """
 
 from __future__ import annotations

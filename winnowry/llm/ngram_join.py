@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from winnowry.operators.components import connected_components
 from winnowry.session import cut
 
-from ._words import BASE, U, Words, chunks, mix
+from ._words import BASE, U, Words, arrow_type, chunks, mix
 
 GRAM = 3
 THRESHOLD = 0.45
@@ -52,7 +52,7 @@ BATCH_BYTES, BATCH_DOCS = 4 << 20, 60_000
 #: Entries of short lists up to which a heap merges them.
 HEAP = 512
 #: Grams of a part of a block.
-PART_GRAMS = 1 << 20
+PART_GRAMS = 1 << 19
 #: MinHash bins and how many make a band; they divide the work and don't change the result.
 BINS, ROWS = 64, 4
 _LOW = U((1 << 40) - 1)
@@ -496,7 +496,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     field = docs.schema[id_col].dataType
     kind = field.simpleString()
     base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).filter("doc_id IS NOT NULL")
-    arrow = _arrow_type(base.select("doc_id"))
+    arrow = arrow_type(docs, id_col)
     schema = _SENT.format(kind=kind)
     sent = base.mapInArrow(_scatter(gram, parts, arrow), schema).repartition(parts, "part")
     back = sent.mapInArrow(_frequent, schema).groupBy("batch")
@@ -515,6 +515,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     side = F.pmod(F.xxhash64("rid"), F.col("k"))
     inner = reps.filter("many > 1").withColumn("side", side).withColumn("other", F.explode(F.expr("sequence(0L, k - 1)")))
     inner = inner.select("block", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "rid", "n", "copies", "grams")
+    inner = inner.repartition(parts, "block", "i", "j")  # work is uneven by bytes: no coalescing
     found = cut(inner.groupBy("block", "i", "j").applyInArrow(_linked(threshold), "src bigint, dst bigint, links bigint"), "op9-links")
 
     # Across them.
@@ -544,11 +545,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return named.join(groups, "c").select("doc_id", "group_id", F.col("links").alias("n_links"))
 
 
-def _arrow_type(ids: DataFrame) -> pa.DataType:
-    """How the ids travel in Arrow batches."""
-    return ids.limit(0).toArrow().schema.field(0).type
-
-
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the members of groups other than the one with the least id."""
     gone = near_groups(docs, id_col, text_col, **options).filter("doc_id <> group_id").select(F.col("doc_id").alias("__gone"))

@@ -5,7 +5,9 @@ an n-gram that has occurred before, and of lines that have, are set against all
 All runs inside one Arrow UDF over the text column: no shuffle, and columns other than the text stay in the JVM.
 
 Defined results: a null or empty text has no words, all shares 0.0, and is kept. A text shorter than n words has share
-0.0 for n. Of equal n-grams or lines all but the first count. Repeated rows are judged each by itself. Other columns, whatever their names, are not read.
+0.0 for n. Of equal n-grams or lines all but the first count. A share at its limit is kept. Repeated rows are judged each
+by itself. An empty table gives an empty result. Very long texts are judged whole. Other columns, whatever their names,
+are not read.
 """
 
 from __future__ import annotations

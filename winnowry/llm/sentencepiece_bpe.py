@@ -14,7 +14,9 @@ Models: BPE with byte fallback, identity normalisation and a leading space mark,
 library give; others are refused. The place of the model is a parameter.
 
 Defined results: a null text gives null, an empty one no pieces. Text that holds the space mark itself (U+2581) is
-encoded as the library does and decodes to spaces. Every row is handled alone; other columns are not read.
+encoded as the library does and decodes to spaces. Of merges with equal scores the leftmost goes first, as in the library.
+Repeated rows get equal results, an empty table an empty one. Very long texts are encoded whole. Every row is handled
+alone; other columns are not read.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ Two states, clean and toxic, over words (runs of ASCII letters and digits and of
 in lower case). Features are hashed: the word, its length, and both neighbours. Parts of words are no features: words
 that merely begin like a toxic one are not toxic.
 
-Training is bounded: at most MAX_TOXIC toxic and MAX_CLEAN other labelled documents, by the order of a hash of the id,
-reach the driver. Near copies among them (bigram Jaccard >= COPY) count once. A word of a toxic document is labelled toxic if hardly any clean
+Training is bounded: at most MAX_TOXIC toxic and MAX_CLEAN other labelled documents of up to MAX_CHARS characters, by the
+order of a hash of the id, reach the driver; of an id with several texts the first in order is taken. Near copies among them (bigram Jaccard >= COPY) count once. A word of a toxic document is labelled toxic if hardly any clean
 document has it and its frequency in toxic ones is no chance (likelihood ratio at least EVIDENCE). Weights follow
 full-batch gradients of the conditional likelihood, with expectations by forward-backward.
 
@@ -16,7 +16,8 @@ greatest marginal; tagged neighbours merge to a span with offsets in characters.
 
 Defined results: null, empty and wordless texts have score 0.0 and no span. Labels without document, or null, don't
 count; an id with several labels is toxic if any says so. Without any toxic label nothing is tagged. Repeated rows get
-equal results. Very long texts are scored whole. Other columns are not read.
+equal results. Equal marginals are no matter: the score is their value, and each word at CUT or above is tagged. With an
+empty table the result is empty. Very long texts are scored whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from ._words import BASE, U, char_sums, chunks, mix, runs, spans, sums
 
 MAX_TOXIC = 1500
 MAX_CLEAN = 3000
+MAX_CHARS = 20_000
 EVIDENCE = 30.0
 COPY = 0.5
 BITS = 22
@@ -200,19 +202,15 @@ def label_words(hashes: np.ndarray, ptr: np.ndarray, toxic: np.ndarray) -> np.nd
     return (bad[code] & toxic[row]).astype(np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Crf | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_chars: int = MAX_CHARS) -> Crf | None:
     """Fits on a sample of bounded size; None if there is no toxic word to learn."""
     known = labels.select(F.col("doc_id").alias("id"), "toxic").dropna().groupBy("id").agg(F.max("toxic").alias("toxic"))
+    fits = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter(F.length("text") <= max_chars)
     order = F.xxhash64("id")
-    some = known.filter("toxic = 1").orderBy(order, "id").limit(max_toxic).union(known.filter("toxic = 0").orderBy(order, "id").limit(max_clean))
-    rows = (
-        docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-        .join(F.broadcast(some), "id")  # bounded by the two limits
-        .dropna()
-        .select("id", "toxic", "text")
-        .toArrow()
-        .sort_by([("id", "ascending"), ("text", "ascending")])
-    )
+    here = known.join(fits.select("id"), "id", "left_semi")
+    some = here.filter("toxic = 1").orderBy(order, "id").limit(max_toxic).union(here.filter("toxic = 0").orderBy(order, "id").limit(max_clean))
+    # Both the broadcast and what is collected are bounded by the three limits.
+    rows = fits.join(F.broadcast(some), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).toArrow().sort_by([("id", "ascending")])
     if not rows.num_rows:
         return None
     parts = [Tokens(data, off) for _, _, data, off in chunks(rows["text"].combine_chunks())]
