@@ -202,7 +202,11 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not rows:
         return
     keys = lambda r: [unpack(s) | U(r[0] << 40) for s in (r[2], r[4])]
-    every = np.concatenate([x for r in rows for x in keys(r)])
+    every, at = np.empty(sum((len(s) - 1) // s[0] for r in rows for s in (r[2], r[4])), U), 0  # the first byte is the width
+    for r in rows:
+        for x in keys(r):
+            every[at : at + len(x)] = x
+            at += len(x)
     every.sort()
     same = every[1:] == every[:-1]
     often = np.unique(np.concatenate((every[1:][same], *(keys(r)[1] for r in rows))))
@@ -498,7 +502,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).filter("doc_id IS NOT NULL")
     arrow = arrow_type(docs, id_col)
     schema = _SENT.format(kind=kind)
-    sent = base.mapInArrow(_scatter(gram, parts, arrow), schema).repartition(parts, "part")
+    sent = base.mapInArrow(_scatter(gram, parts, arrow), schema).repartitionById(parts, "part")  # one part a task: a hash would give some tasks several
     back = sent.mapInArrow(_frequent, schema).groupBy("batch")
     made = cut(back.applyInArrow(_able(threshold), f"ids array<{kind}>, rids array<bigint>, rid bigint, n bigint, grams binary, bands array<bigint>"), "op9-able")
     members = made.filter("ids IS NOT NULL").select(F.explode(F.arrays_zip(F.col("ids").alias("doc_id"), F.col("rids").alias("rid"))).alias("m")).select("m.*").filter("rid <> 0")
@@ -520,7 +524,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Across them.
     lists = reps.select("rid", "block", "n", "grams").mapInArrow(_postings(threshold, parts), "part int, classes binary, grams binary, holder binary")
-    pairs = lists.repartition(parts, "part").mapInArrow(_across, "src bigint, dst bigint").distinct()
+    pairs = lists.repartitionById(parts, "part").mapInArrow(_across, "src bigint, dst bigint").distinct()
     size = reps.select("rid", "n", "copies")
     pairs = pairs.join(size.toDF("src", "n", "c"), "src").join(size.toDF("dst", "m", "d"), "dst")
     pairs = pairs.filter(F.least("n", "m") >= F.greatest("n", "m") * F.lit(threshold) - 1e-6)
