@@ -6,6 +6,7 @@ running polynomial sum over the bytes: the hash of a span is a difference of two
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,14 @@ CHUNK = 1 << 20
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
+def trim() -> None:
+    """Give memory that a task has freed back to the machine: Python workers live on for other stages."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse modulo 2**64 for i < n."""
     if len(_powers[0]) < n:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from winnowry.operators.components import connected_components
 from winnowry.session import cut
 
-from ._words import BASE, U, Words, arrow_type, chunks, mix
+from ._words import BASE, U, Words, arrow_type, chunks, mix, trim
 
 GRAM = 3
 THRESHOLD = 0.45
@@ -183,6 +183,8 @@ def _scatter(n: int, parts: int, kind: pa.DataType):
                     have += max(1, int(off[b] - off[a]))
         if ids:
             yield from send()
+        ids, grams, sizes = [], [], []
+        trim()
 
     return run
 
@@ -235,6 +237,9 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(cols[0])
         empty = [_null(c, k, schema) for c in _NAMES[2:8]]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *empty, *(pa.array(c, pa.binary()) for c in cols[2:])], _NAMES)
+    cols = []
+    del out, often, total, level
+    trim()
 
 
 def _null(name: str, k: int, schema: pa.Schema) -> pa.Array:
@@ -301,6 +306,8 @@ def _able(t: float):
         yield pa.RecordBatch.from_arrays([ids, rids, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, lists.type)], names)
         packed = [_pack48(gram[a:b]) for a, b in zip(ptr[:-1], ptr[1:])]
         yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.nulls(k, rids.type), pa.array(rid[good].view(np.int64)), pa.array(n[good]), pa.array(packed, pa.binary()), lists], names)
+        del keys, holders, levels, key, holder, level, gram, order, keep, packed
+        trim()
 
     return run
 
@@ -392,6 +399,9 @@ def _linked(t: float):
         some = np.flatnonzero(links)
         yield pa.RecordBatch.from_arrays([pa.array(rid[some]), pa.nulls(len(some), pa.int64()), pa.array(links[some])], ["src", "dst", "links"])
         yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.nulls(len(src), pa.int64())], ["src", "dst", "links"])
+        if got.nbytes > 1 << 20:
+            del got
+            trim()
 
     return run
 
@@ -465,6 +475,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = found[lo : lo + 100_000]
         a, b = name[p // len(name)], name[p % len(name)]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["src", "dst"])
+    del gram, rid, block, order, head, size, mixed, end, at, pairs, found
+    trim()
 
 
 def _jaccard():

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -31,6 +32,8 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._words import trim
+
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words that a worker keeps.
@@ -291,18 +294,29 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return F.arrow_udf(run, "string").asNondeterministic()(ids)
 
 
-def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL) -> DataFrame:
-    """(doc_id, token_ids, n_tokens, exact): exact says that decoding gives the text again."""
+def checked(text: Column, path: str = MODEL) -> Column:
+    """struct<token_ids array<int>, exact boolean> of a text column: exact says that decoding gives the text again.
 
-    def run(texts: pa.Array) -> pa.Array:
+    What a task has learned goes at its end: the worker lives on for other stages.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = vocabulary(path)
-        rows = encode_batch(texts, path)
-        same = [None if r is None else v.decode(r) == t.as_py().encode() for t, r in zip(texts, rows)]
-        return pa.StructArray.from_arrays([id_lists(rows), pa.array(same, pa.bool_())], ["token_ids", "exact"])
+        for texts in batches:
+            rows = encode_batch(texts, path)
+            same = [None if r is None else v.decode(r) == t.as_py().encode() for t, r in zip(texts, rows)]
+            yield pa.StructArray.from_arrays([id_lists(rows), pa.array(same, pa.bool_())], ["token_ids", "exact"])
+        v.words.reset()
+        v.pair.clear()
+        trim()
 
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    both = F.arrow_udf(run, "struct<token_ids:array<int>,exact:boolean>").asNondeterministic()
-    out = docs.select(docs[id_col].alias("doc_id"), both(docs[text_col]).alias("e"))
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "struct<token_ids:array<int>,exact:boolean>").asNondeterministic()(text)
+
+
+def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL) -> DataFrame:
+    """(doc_id, token_ids, n_tokens, exact): exact says that decoding gives the text again."""
+    out = docs.select(docs[id_col].alias("doc_id"), checked(docs[text_col], path).alias("e"))
     return out.select("doc_id", "e.token_ids", F.size("e.token_ids").cast("long").alias("n_tokens"), "e.exact")
 
 
