@@ -11,6 +11,7 @@ empty one with the same columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from winnowry.llm import decontaminate, line_dedup, ngram_join, quality_rules, sentencepiece_bpe
 from winnowry.session import cut
@@ -55,8 +56,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text has null for both, an empty one no ids and true. Columns of these names are replaced.
     """
-    made = docs.withColumn("token_ids", sentencepiece_bpe.encode(docs["text"]))
-    return made.withColumn("exact", sentencepiece_bpe.decode(made["token_ids"]) == made["text"])
+    names = [c for c in docs.columns if c not in ("token_ids", "exact")]
+    packed = docs.select(F.struct(*[docs[c] for c in names]).alias("r"), sentencepiece_bpe.checked(docs["text"]).alias("e"))
+    return packed.select("r.*", "e.token_ids", "e.exact")
 
 
 STAGES = [
