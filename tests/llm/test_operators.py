@@ -407,6 +407,40 @@ def test_maxent_lm_grows(spark, monkeypatch):
     assert large.own + large.shared == large.width**3 == len(large.log_types)
 
 
+def test_maxent_lm_scores_rare_words_by_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "WIDTH", 4)
+    monkeypatch.setattr(maxent_lm, "BLOCK", 400)
+    rng = random.Random(23)
+    texts = [" ".join(f"r{int(rng.paretovariate(0.6))}" for _ in range(rng.randrange(1, 60))) for _ in range(120)]
+    texts += ["", None, texts[0], "r1 " * 300 + "once", "  \n"]
+    docs = table(spark, texts)
+    model, rows = maxent_lm.train(docs), maxent_lm.scored(docs).collect()
+    seen = Counter(w for t in texts for w in (t or "").split())
+    home = {w: int(model.places(lm_words(w).hash)[0]) for w in seen}
+    shared = Counter()
+    for w, n in seen.items():
+        shared[home[w]] += n
+    rare = [w for w in seen if home[w] >= model.own]
+    # Places hold several words of different counts: equal parts would be wrong.
+    assert len({(home[w], seen[w]) for w in rare}) > len({home[w] for w in rare})
+    assert len(rows) == len(texts)
+    got = {r["doc_id"]: r for r in rows}
+    for k, t in zip([r["doc_id"] for r in docs.collect()], texts):
+        words = (t or "").split()
+        assert got[k]["n_words"] == len(words)
+        if words:
+            w = lm_words(t)
+            p = model.log_place(model.features(w), model.places(w.hash)).astype(float)
+            want = np.mean(p + [np.log(seen[x] / shared[home[x]]) for x in words])
+            assert got[k]["mean_logprob"] == pytest.approx(want, abs=1e-3)
+            assert got[k]["perplexity"] == pytest.approx(np.exp(-want), rel=2e-3)
+        else:
+            assert got[k]["mean_logprob"] is None and got[k]["perplexity"] is None
+    # Ids of any type, also null, come back with their rows.
+    some = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.array(F.col("doc_id").cast("string"))))
+    assert Counter(str(r["doc_id"]) for r in maxent_lm.scored(some).collect()) == Counter(str(r["doc_id"]) for r in some.collect())
+
+
 def lm_words(text):
     return maxent_lm.Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
 
