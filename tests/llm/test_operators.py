@@ -497,6 +497,26 @@ def test_maxent_probabilities_are_softmax():
     assert sum(ends) + ghosts == pytest.approx(1, abs=1e-4)
 
 
+def test_maxent_products_of_exponentials_equal_exponentials_of_sums():
+    rng = np.random.default_rng(29)
+    model, vocabulary = small_model(rng)
+    seen = lm_words(" ".join(rng.choice(vocabulary, 300)))
+    for scale in (1, 8 / max(np.abs(t).max() for t in model.tables), 2.4):
+        for t in model.tables:
+            t *= np.float32(scale)
+        assert np.allclose(model.score(seen), model.score(seen, model.powers()), rtol=1e-4, atol=1e-4)
+    # Sums beyond MOST are cut in either way; weights whose products could overflow take the way of sums.
+    f, place = model.features(seen), model.places(seen.hash)
+    assert max(np.abs(z).max() for _, _, _, z, _ in model.softmax(f, place, model.powers())) == np.exp(np.float32(maxent_lm.MOST))
+    model.tables[0][0, 0] = 1 + maxent_lm.MOST / 2
+    assert model.powers() is None
+    # The search by first bits finds every word with a place, and no other.
+    model.words[:3] = model.words[3] - np.arange(3, 0, -1).astype(np.uint64)
+    again = maxent_lm.Model(model.words, np.ones(64), 4, 8, (5, 6, 7))
+    assert again.longest >= 4 and again.places(model.words).tolist() == list(range(50))
+    assert (again.places(model.words + np.uint64(1))[5:] >= 56).all() and again.places(np.zeros(0, np.uint64)).size == 0
+
+
 def test_maxent_update_is_the_gradient():
     rng = np.random.default_rng(19)
     model, vocabulary = small_model(rng)

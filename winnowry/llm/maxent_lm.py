@@ -11,7 +11,8 @@ digits so far, choose rows of a weight table for each level.
 Training is ROUNDS passes of distributed gradient updates: every task starts from the current weights and sums of past
 gradients, runs over all its words in batches with steps scaled by row, and returns the change; changes are summed by
 slices of the tables in a shuffle and averaged by words. A gradient is scattered to the rows of all features of a batch
-at once, two weights as one complex number. What travels back to the driver is one table. Scoring runs over all
+at once, two weights as one complex number. Scoring multiplies rows of exponentials instead of taking exponentials of
+sums, unless weights are so large that products could overflow. What travels back to the driver is one table. Scoring runs over all
 documents in blocks. The occurrences of every word without a place of its own, however many there are, come from a
 shuffle of each block's words by slices of their hashes and go back to the block. ``scores`` is an Arrow UDF for any
 texts; their words needn't occur in the corpus, so there the types that share a place have equal parts.
@@ -48,6 +49,8 @@ ROUNDS = 1
 RATE = 0.1
 #: Sums of weights beyond this are as good as certain.
 MOST = 40.0
+#: Words are looked up by this many first bits of their hashes.
+FIRST = 18
 SLICES = 256
 #: Bytes of text that are enough for a block of scored documents.
 BLOCK = 8 << 20
@@ -58,6 +61,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, off in chunks(batch.column(0), 8 << 20):
             w, n = np.unique(Words(data, off).hash, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], ["word", "n"])
+    trim()
 
 
 def layout(frequent: int) -> tuple[int, int]:
@@ -85,6 +89,9 @@ class Model:
         self.bits = tuple(b + more for b in bits)
         order = np.argsort(words)
         self.words, self.place = words[order], order
+        #: Where words begin by their first bits, and how many share these at most.
+        bounds = np.searchsorted(self.words >> U(64 - FIRST), np.arange((1 << FIRST) + 1, dtype=U)).astype(np.int32)
+        self.first, self.longest = bounds[:-1], int(np.diff(bounds).max())
         self.log_types = np.log(np.maximum(types, 1)).astype(np.float32)
         #: Logarithms of the occurrences of all words that share a place; 0 for places of one word.
         self.log_total = np.log(np.maximum(types if total is None else total, 1))
@@ -93,10 +100,13 @@ class Model:
         self.seen = [np.zeros(1 << b, np.float32) for b in self.bits]
 
     def places(self, h: np.ndarray) -> np.ndarray:
-        out = self.own + (h % U(self.shared)).astype(np.int64)
+        out = self.own + (h & U(self.shared - 1)).astype(np.int64)
         if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-            out = np.where(self.words[at] == h, self.place[at], out)
+            at, last = np.take(self.first, (h >> U(64 - FIRST)).astype(np.int64)), len(self.words) - 1
+            for k in range(self.longest):
+                there = np.minimum(at + k, last)
+                hit = np.flatnonzero(np.take(self.words, there) == h)
+                out[hit] = self.place[there[hit]]
         return out
 
     @staticmethod
@@ -114,24 +124,33 @@ class Model:
         a, b, c = back(1), back(2), back(3)
         return np.stack([mix(x + U(s)) for s, x in ((11, a), (12, a * BASE + b), (13, b), (14, c))])
 
-    def softmax(self, f: np.ndarray, place: np.ndarray):
+    def powers(self) -> list[np.ndarray] | None:
+        """Exponentials of the weights, or nothing where products of FEATURES of them could overflow."""
+        if any(np.abs(t).max() > MOST / 2 for t in self.tables):
+            return None
+        return [np.exp(t) for t in self.tables]
+
+    def softmax(self, f: np.ndarray, place: np.ndarray, powers: list[np.ndarray] | None = None):
         """For each level: the table, its rows (FEATURES, n), the targets, exponentials, and their sums."""
+        join, least, most = (np.multiply, np.exp(np.float32(-MOST)), np.exp(np.float32(MOST))) if powers else (np.add, np.float32(-MOST), np.float32(MOST))
         for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
             before, target = np.divmod(place // self.width ** (LEVELS - 1 - k), self.width)
             key = mix(f + before.astype(U) * BASE) if k else f
             rows = (key >> U(64 - bits)).astype(np.int64)
-            z, more = np.take(table, rows[0], axis=0), np.empty((len(place), self.width), np.float32)
+            source = powers[k] if powers else table
+            z, more = np.take(source, rows[0], axis=0), np.empty((len(place), self.width), np.float32)
             for row in rows[1:]:
-                z += np.take(table, row, axis=0, out=more, mode="clip")
-            np.minimum(z, np.float32(MOST), out=z)
-            np.maximum(z, np.float32(-MOST), out=z)
-            np.exp(z, out=z)
+                join(z, np.take(source, row, axis=0, out=more, mode="clip"), out=z)
+            if z.max(initial=least) > most or z.min(initial=most) < least:
+                np.clip(z, least, most, out=z)
+            if not powers:
+                np.exp(z, out=z)
             yield table, rows, target, z, np.einsum("ij->i", z)
 
-    def log_place(self, f: np.ndarray, place: np.ndarray) -> np.ndarray:
+    def log_place(self, f: np.ndarray, place: np.ndarray, powers: list[np.ndarray] | None = None) -> np.ndarray:
         """The logarithmic probability of each word's place."""
         at = np.arange(len(place))
-        return sum(np.log(z[at, target] / total) for _, _, target, z, total in self.softmax(f, place))
+        return sum(np.log(z[at, target] / total) for _, _, target, z, total in self.softmax(f, place, powers))
 
     def log_probability(self, f: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The same of a word, if the types that share a place have equal parts."""
@@ -173,15 +192,15 @@ class Model:
         for lo in range(0, len(place), BATCH):
             self.update(f[:, lo : lo + BATCH], place[lo : lo + BATCH], rate)
 
-    def by_place(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    def by_place(self, w: Words, powers: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The place of each word, and the logarithmic probability of the place."""
         f, place = self.features(w), self.places(w.hash)
-        parts = [self.log_place(f[:, lo : lo + SCORED], place[lo : lo + SCORED]) for lo in range(0, len(place), SCORED)]
+        parts = [self.log_place(f[:, lo : lo + SCORED], place[lo : lo + SCORED], powers) for lo in range(0, len(place), SCORED)]
         return place, np.concatenate(parts or [np.zeros(0)]).astype(np.float64)
 
-    def score(self, w: Words) -> np.ndarray:
+    def score(self, w: Words, powers: list[np.ndarray] | None = None) -> np.ndarray:
         """The logarithmic probability of each word, if the types that share a place have equal parts."""
-        place, p = self.by_place(w)
+        place, p = self.by_place(w, powers)
         return p - self.log_types[place]
 
 
@@ -200,6 +219,7 @@ def _train(model: Model, rate: float):
                 [pa.array(range(SLICES), pa.int32()), pa.array([n] * SLICES, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 ["slice", "n", "change"],
             )
+        trim()
 
     return run
 
@@ -244,10 +264,10 @@ def scores(text: Column, model: Model) -> Column:
     """struct<n_words, mean_logprob, perplexity> of any text column; types that share a place have equal parts."""
 
     def run(texts: pa.Array) -> pa.Array:
-        count, total = [], []
+        count, total, powers = [], [], model.powers()
         for _, _, data, off in chunks(texts):
             w = Words(data, off)
-            c = np.concatenate(([0.0], np.cumsum(model.score(w))))
+            c = np.concatenate(([0.0], np.cumsum(model.score(w, powers))))
             total.append(c[w.ptr[1:]] - c[w.ptr[:-1]])
             count.append(w.counts)
         n = np.concatenate(count or [np.zeros(0, np.int64)])
@@ -277,11 +297,12 @@ def _blocks(model: Model):
     """Blocks of documents with the sums of what is known without the other blocks, and the words that share places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = model.powers()
         for batch in batches:
             start, size, parts = 0, 0, []
             for _, hi, data, off in chunks(batch.column(1), min(CHUNK, BLOCK)):
                 w = Words(data, off)
-                place, p = model.by_place(w)
+                place, p = model.by_place(w, powers)
                 c = np.concatenate(([0.0], np.cumsum(p - model.log_total[place])))
                 rare = np.flatnonzero(place >= model.own)
                 parts.append((w.counts, c[w.ptr[1:]] - c[w.ptr[:-1]], np.diff(np.searchsorted(rare, w.ptr)), w.hash[rare]))
